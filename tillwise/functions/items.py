@@ -18,30 +18,34 @@ CHECK_SCHEMA = "ls array<struct<p:string,n:string,q:string,pr:string>>"
 ItemTest = Callable[[Column], Column]
 
 
+# from_json hands over a nested value as its JSON text; a scalar of the same text is no JSON.
+_SCALAR = "if(substring({0}, 1, 1) IN ('{{', '[') AND try_parse_json({0}) IS NOT NULL, NULL, {0})"
+
+
 def json_scalar(value: Column) -> Column:
     """NULL where the JSON value was an object or array rather than a scalar."""
     nested = F.substring(value, 1, 1).isin("{", "[") & F.try_parse_json(value).isNotNull()
     return F.when(~nested, value)
 
 
-def line_items(check: Column) -> Column:
-    """Check document -> array of (code, name, quantity, whole_quantity, price).
+def line_items(check: str = "check") -> Column:
+    """Check document column -> array of (code, name, quantity, whole_quantity, price).
 
     Bad numbers become NULL. ``whole_quantity`` is NULL for a fractional quantity; NULL or
-    malformed documents give a NULL array.
+    malformed documents give a NULL array. An object or array in place of a scalar is NULL.
     """
-
-    def typed(item: Column) -> Column:
-        quantity = json_scalar(item["q"])
-        return F.struct(
-            json_scalar(item["p"]).alias("code"),
-            json_scalar(item["n"]).alias("name"),
-            quantity.try_cast("double").alias("quantity"),
-            quantity.try_cast("bigint").alias("whole_quantity"),
-            json_scalar(item["pr"]).try_cast("decimal(38,9)").alias("price"),
-        )
-
-    return F.transform(F.from_json(check, CHECK_SCHEMA)["ls"], typed)
+    code, name, quantity, price = (_SCALAR.format(f"i.{path}") for path in ("p", "n", "q", "pr"))
+    return F.expr(
+        f"""
+        transform(from_json(`{check}`, '{CHECK_SCHEMA}').ls, i -> named_struct(
+            'code', {code},
+            'name', {name},
+            'quantity', try_cast({quantity} AS DOUBLE),
+            'whole_quantity', try_cast({quantity} AS BIGINT),
+            'price', try_cast({price} AS DECIMAL(38,9))
+        ))
+        """
+    )
 
 
 def matches_code_and_name(targets: Iterable[tuple[str, str]]) -> ItemTest:

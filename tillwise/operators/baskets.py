@@ -15,14 +15,14 @@ HISTOGRAM_BINS = 10
 
 def explode_items(tx: DataFrame) -> DataFrame:
     """One row per line item; rows without a readable document drop out."""
-    return tx.withColumn("item", F.explode(I.line_items(F.col("check")))).select(
+    return tx.withColumn("item", F.explode(I.line_items())).select(
         *tx.columns, "item.code", "item.name", "item.quantity", "item.whole_quantity", "item.price"
     )
 
 
 def flag_target(tx: DataFrame, test: I.ItemTest, flag: str = "has_target") -> DataFrame:
     """Add whether the row's check holds a target item (within the row, no shuffle)."""
-    return tx.withColumn(flag, I.contains_item(I.line_items(F.col("check")), test))
+    return tx.withColumn(flag, I.contains_item(I.line_items(), test))
 
 
 def target_orders(tx: DataFrame, test: I.ItemTest, keys: tuple[str, ...]) -> DataFrame:
@@ -99,7 +99,7 @@ def basket_composition(tx: DataFrame) -> DataFrame:
     The check key is a digest of the document, so rows sharing a key share the composition
     and de-duplication is all that is left to shuffle; no item rows are produced.
     """
-    composition = I.priced_composition(I.line_items(F.col("check")))
+    composition = I.priced_composition(I.line_items())
     return (
         tx.select("check_hash", composition.alias("check_composition_id"))
         .filter(F.col("check_composition_id").isNotNull())
@@ -121,19 +121,24 @@ def top_k_plus_others(
 ) -> DataFrame:
     """The ``k`` most frequent keys (ties by key) and the sum of the rest.
 
-    The top is found by a bounded sort per task rather than a global ranking in one task, and
-    the rest is a plain sum over what the ``k`` rows leave; both read the same shuffled counts.
+    The top is found by a bounded sort per task rather than a global ranking in one task. The
+    rest is the grand total less the top; both read the same shuffled counts.
     """
     top = counts.orderBy(F.col(count).desc(), key).limit(k)
-    named = top.select(key, count)
-    taken = top.select(F.col(key).alias("_key"))
-    rest = (
-        counts.join(taken, counts[key].eqNullSafe(taken["_key"]), "left_anti")
-        .agg(F.sum(count).alias(count))
-        .filter(F.col(count).isNotNull())
-        .select(F.lit(others).alias(key), count)
-    )
+    rest = F.lit(others)
+    slices = top.select(
+        F.explode(
+            F.array(
+                F.struct(F.col(key).alias(key), F.col(count).alias(count)),
+                F.struct(rest.alias(key), (-F.col(count)).alias(count)),
+            )
+        ).alias("slice")
+    ).select(f"slice.{key}", f"slice.{count}")
+    total = counts.agg(F.sum(count).alias(count)).select(rest.alias(key), count)
     return (
-        named.unionByName(rest).groupBy(key).agg(F.sum(count).alias(count))
+        slices.unionByName(total)
+        .groupBy(key)
+        .agg(F.sum(count).alias(count))
+        .filter(F.col(count) > 0)
         .orderBy(F.col(key) == others, F.col(count).desc(), key)
     )

@@ -11,10 +11,12 @@ from tillwise.functions.clock import week_start
 from tillwise.functions.money import sum_dollars
 from tillwise.operators.baskets import flag_target
 from tillwise.params import Period
+from tillwise.sources.tables import materialize
 
-# Semi-joins below match on customer, or customer and store. The side they filter by is a
-# distinct list of buyers: adaptive execution broadcasts it when it turns out small and
-# otherwise splits the partitions of a customer that holds many rows.
+# The semi-joins below match on customer, or customer and store, against a distinct list of
+# buyers. The list is materialized first, so its true size is known when the join is planned:
+# a list under the broadcast threshold leaves the transactions and their documents where they
+# are, a longer one is joined by a shuffle whose skewed partitions adaptive execution splits.
 
 
 def prior_buyer_rollcall(tx: DataFrame, test: I.ItemTest) -> DataFrame:
@@ -24,7 +26,7 @@ def prior_buyer_rollcall(tx: DataFrame, test: I.ItemTest) -> DataFrame:
     its launch, in Monday-to-Sunday weeks.
     """
     before_launch = F.col("business_date") < F.col("launch_date")
-    buyers = (
+    buyers = materialize(
         flag_target(tx.filter(before_launch), test)
         .filter("has_target")
         .select("account_id", "store_id")
@@ -59,8 +61,10 @@ def conversion_funnel(
     after = tx.filter((day >= launch) & (day <= F.lit(end)))
     visits = F.count_distinct("check_hash").alias("visit_number")
 
-    pre_buyers = flag_target(before, old_items).filter("has_target").groupBy("account_id", "store_id").agg(visits)
-    returners = (
+    pre_buyers = materialize(
+        flag_target(before, old_items).filter("has_target").groupBy("account_id", "store_id").agg(visits)
+    )
+    returners = materialize(
         after.join(pre_buyers.select("account_id", "store_id"), ["account_id", "store_id"], "left_semi")
         .groupBy("account_id")
         .agg(visits)
@@ -83,7 +87,7 @@ def adoption_lookback(
     def within(period: Period):
         return F.col("business_date").between(F.lit(period.start), F.lit(period.end))
 
-    adopters = (
+    adopters = materialize(
         flag_target(tx.filter(within(launch)), new_item)
         .filter("has_target")
         .select("account_id")
@@ -123,8 +127,8 @@ def target_customer_history(
     finds the customers.
     """
     flagged = flag_target(tx, test, "contains_target")
-    buyers = flagged.filter("contains_target").select("account_id", "store_id").distinct()
-    parsed = I.line_items(F.col("check"))
+    buyers = materialize(flagged.filter("contains_target").select("account_id", "store_id").distinct())
+    parsed = I.line_items()
     history = flagged.join(buyers, ["account_id", "store_id"], "left_semi").withColumn("_items", parsed)
     columns = [
         "store_name", "account_id", "customer_type", "check_hash", "timestamp", "local_time",
@@ -145,7 +149,7 @@ def target_item_details(tx: DataFrame, test: I.ItemTest) -> DataFrame:
         .filter("has_target")
         .select(
             "check_hash", "account_id", "store_id", "business_date",
-            I.target_item_details(I.line_items(F.col("check")), test).alias("item_details"),
+            I.target_item_details(I.line_items(), test).alias("item_details"),
         )
         .distinct()
     )

@@ -47,7 +47,7 @@ RETURNS = ReturnRateParams(
 )
 WEEKEND_RETURNS = ReturnRateParams(RETURNS.period_1, RETURNS.period_2, start_days=(1, 7))
 RULES = CohortRules(
-    window=SALES,
+    window=Period(SALES.start, date(2001, 7, 31)),
     maturity_cutoff=date(1995, 4, 25),
     maturity_rank=50,
     monthly_minimum=6,
