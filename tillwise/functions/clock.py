@@ -6,7 +6,7 @@ session time zone. Local times are TIMESTAMP_NTZ in the store's own zone.
 
 from __future__ import annotations
 
-from datetime import date, datetime, time, timedelta
+from datetime import date, datetime, time, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -56,19 +56,46 @@ def cutoff_business_date(local_time: Column, hours: int = 6) -> Column:
     return F.to_date(local_time - F.expr(f"INTERVAL {int(hours)} HOURS"))
 
 
-def within_utc_envelope(utc_wall_time: Column, start: date | None, end: date | None) -> Column:
-    """Coarse bound on the raw timestamp implied by a local business-date range.
+def utc_literal(df: DataFrame, column: str, moment: datetime) -> Column:
+    """UTC moment as a literal of the column's own type, so that comparisons reach the scan."""
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        return F.lit(moment.replace(tzinfo=timezone.utc))
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def in_utc_range(
+    df: DataFrame, column: str, first: datetime | None = None, before: datetime | None = None
+) -> DataFrame:
+    """Rows with ``first <= column < before``.
+
+    Tables landed by ``snapshot_table`` carry the UTC date as partition column
+    ``<column>_date``; where it is present, the same range prunes its partitions.
+    """
+    partition = f"{column}_date"
+    partitioned = partition in df.columns
+    if first is not None:
+        df = df.filter(F.col(column) >= utc_literal(df, column, first))
+        if partitioned:
+            df = df.filter(F.col(partition) >= F.lit(first.date()))
+    if before is not None:
+        df = df.filter(F.col(column) < utc_literal(df, column, before))
+        if partitioned:
+            df = df.filter(F.col(partition) <= F.lit(before.date()))
+    return df
+
+
+def within_utc_envelope(
+    df: DataFrame, start: date | None, end: date | None, column: str = "timestamp"
+) -> DataFrame:
+    """Coarse filter on the raw timestamp implied by a local business-date range.
 
     A predicate on a time-zone-shifted date cannot reach the Parquet scan. Every local date
-    lies within a day or two of the UTC date, so this wider bound can, and row groups and
-    date partitions are skipped before the exact filter runs.
+    lies within a day or two of the UTC date, so this wider range can, and partitions and row
+    groups are skipped before the exact filter runs. Apply it before any time conversion.
     """
-    bound = F.lit(True)
-    if start is not None:
-        bound = bound & (utc_wall_time >= F.lit(datetime.combine(start - timedelta(days=1), time())).cast("timestamp_ntz"))
-    if end is not None:
-        bound = bound & (utc_wall_time < F.lit(datetime.combine(end + timedelta(days=3), time())).cast("timestamp_ntz"))
-    return bound
+    first = None if start is None else datetime.combine(start - timedelta(days=1), time())
+    before = None if end is None else datetime.combine(end + timedelta(days=3), time())
+    return in_utc_range(df, column, first, before)
 
 
 def between_days(day: Column, start: date | None, end: date | None) -> Column:

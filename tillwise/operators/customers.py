@@ -126,13 +126,14 @@ def target_customer_history(
     The flag and the texts come from the row's own document, so the only join is the one that
     finds the customers.
     """
-    flagged = flag_target(tx, test, "contains_target")
-    buyers = materialize(flagged.filter("contains_target").select("account_id", "store_id").distinct())
-    parsed = I.line_items()
-    history = flagged.join(buyers, ["account_id", "store_id"], "left_semi").withColumn("_items", parsed)
+    buyers = materialize(
+        flag_target(tx, test).filter("has_target").select("account_id", "store_id").distinct()
+    )
+    history = tx.join(buyers, ["account_id", "store_id"], "left_semi").withColumn("_items", I.line_items())
     columns = [
         "store_name", "account_id", "customer_type", "check_hash", "timestamp", "local_time",
-        "sale_in_dollar", "contains_target",
+        "sale_in_dollar",
+        I.contains_item(F.col("_items"), test).alias("contains_target"),
         I.name_composition(F.col("_items")).alias("check_composition"),
         I.item_details(F.col("_items")).alias("check_details"),
     ]

@@ -41,9 +41,10 @@ def normalize_transactions(
     store in several groups whose id starts with ``group_prefix`` yields a row for each of
     them; stores in none keep their single row.
     """
-    rows = clock.with_utc_wall_time(tx)
+    rows = tx
     if after is not None:
-        rows = rows.filter(F.col("timestamp") > F.lit(after).cast("timestamp_ntz"))
+        rows = clock.in_utc_range(rows, "timestamp", after)
+        rows = rows.filter(F.col("timestamp") != clock.utc_literal(tx, "timestamp", after))
     rows = local_time_columns(attach_store(rows, merchant_map, stores))
     if group_map is not None:
         members = group_members(group_map).filter(F.col("store_group_id").startswith(group_prefix))

@@ -135,8 +135,7 @@ def cutoff_sales(
 
     Valid sales of the wanted stores with check key, dollars, local time and business date.
     """
-    rows = clock.with_utc_wall_time(tx)
-    rows = rows.filter(clock.within_utc_envelope(F.col("timestamp"), period.start, period.end))
+    rows = clock.within_utc_envelope(tx, period.start, period.end)
     rows = valid_sales(rows, require_check=require_check, require_account=require_check)
     rows = business_date_cutoff(rows, time_zone, cutoff_hours)
     rows = rows.filter(clock.between_days(F.col("business_date"), period.start, period.end))

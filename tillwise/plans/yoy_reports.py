@@ -55,9 +55,7 @@ def group_daypart_transactions(
     zones = parts.select("store_group_id", "time_zone").distinct()
     earliest = window.start - timedelta(days=lookback_days)
 
-    rows = clock.with_utc_wall_time(tx)
-    rows = rows.filter(clock.within_utc_envelope(F.col("timestamp"), earliest, window.end))
-    rows = stores.valid_sales(rows)
+    rows = stores.valid_sales(clock.within_utc_envelope(tx, earliest, window.end))
     rows = stores.attach_store(rows, merchant_map, store_table, group_map, group_id).drop("time_zone")
     rows = stores.local_time_columns(rows.join(zones, "store_group_id"))
     rows = rows.filter(F.col("local_date").between(F.lit(earliest), F.lit(window.end)))
