@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.clock import between_days, is_saturday
-from tillwise.functions.money import ratio, relative_change, sum_dollars
+from tillwise.functions.money import cents, dollars, ratio, relative_change, sum_dollars
 from tillwise.params import YEAR_LAG_DAYS, CohortRules, Period
 
 SPINE_KEYS = ("store_group_id", "group_name", "year", "output_period_type", "weekday_group")
@@ -55,70 +55,66 @@ def yoy_date_spine(groups: DataFrame, rules: CohortRules) -> DataFrame:
 
 
 def cohort_period_totals(
-    tx: DataFrame,
-    cohort: DataFrame,
-    rules: CohortRules,
-    store_days: DataFrame,
-    sides: Sequence[str] = ("current", "prior"),
+    tx: DataFrame, cohort: DataFrame, rules: CohortRules, store_days: DataFrame
 ) -> DataFrame:
-    """Date count, sales, distinct customers and transactions per side, group, year, weekday group.
+    """Date count, sales, distinct customers and transactions of both sides, side by side.
 
     A transaction counts as ``current`` on its own day and as ``prior`` for the day one lag
-    later, so one scan of the fact serves both sides. Rows are combined per customer before
-    the shuffle, which the distinct count spreads over customers, not over groups.
+    later, so one scan of the fact serves both sides. It is summed per customer first, which
+    combines rows before the shuffle, spreads a group over its customers, and makes the exact
+    distinct counts of both sides plain counts of customer rows.
 
     ``current`` reports calendar dates, ``prior`` dates on which a cohort store had a sale;
     the latter come from ``store_days``. Spine rows without sales appear with zeros.
     """
-    sides = tuple(sides)
-    spine = yoy_date_spine(cohort, rules)
-    totals = _side_rows(tx, "business_day", cohort, rules, sides).groupBy("side", *SPINE_KEYS).agg(
-        sum_dollars(F.col("sale_in_dollar")).alias("sales"),
-        F.count_distinct("account_id").alias("customers"),
-        F.count("*").alias("transaction_count"),
+    spine = yoy_date_spine(cohort, rules).groupBy(*SPINE_KEYS).agg(
+        F.count("*").alias("current_business_date_count")
     )
-    dates = []
-    if "current" in sides:
-        dates.append(
-            spine.groupBy(*SPINE_KEYS)
-            .agg(F.count_distinct("current_business_day").alias("business_date_count"))
-            .withColumn("side", F.lit("current"))
-        )
-    if "prior" in sides:
-        seen = _side_rows(store_days, "business_day", cohort, rules, ("prior",))
-        observed = seen.groupBy(*SPINE_KEYS).agg(F.count_distinct("business_day").alias("observed"))
-        dates.append(
-            spine.select(*SPINE_KEYS).distinct()
-            .join(observed, list(SPINE_KEYS), "left")
-            .withColumn("business_date_count", F.coalesce("observed", F.lit(0)))
-            .drop("observed")
-            .withColumn("side", F.lit("prior"))
-        )
-    frame = dates[0] if len(dates) == 1 else dates[0].unionByName(dates[1])
-    return frame.join(totals, ["side", *SPINE_KEYS], "left").select(
-        "side", *SPINE_KEYS, "business_date_count",
-        F.coalesce("sales", F.lit(0).cast("decimal(20,2)")).alias("sales"),
-        F.coalesce("customers", F.lit(0)).alias("customers"),
-        F.coalesce("transaction_count", F.lit(0)).alias("transaction_count"),
+    observed = (
+        _side_rows(store_days, cohort, rules, {"prior": rules.lag_days})
+        .groupBy(*SPINE_KEYS)
+        .agg(F.count_distinct("business_day").alias("prior_business_date_count"))
+    )
+    sides = {"current": 0, "prior": rules.lag_days}
+    amount = cents(F.col("sale_in_dollar"))
+    per_customer, overall, zeros = [], [], {}
+    for side in sides:
+        mine = F.col("side") == side
+        n, total = F.col(f"{side}_n"), F.col(f"{side}_cents")
+        per_customer += [F.count_if(mine).alias(f"{side}_n"), F.sum(F.when(mine, amount)).alias(f"{side}_cents")]
+        overall += [
+            dollars(F.sum(total)).alias(f"{side}_sales"),
+            F.count_if((n > 0) & F.col("account_id").isNotNull()).alias(f"{side}_customers"),
+            F.sum(n).alias(f"{side}_transaction_count"),
+        ]
+        zeros |= {f"{side}_sales": 0, f"{side}_customers": 0, f"{side}_transaction_count": 0}
+    totals = (
+        _side_rows(tx, cohort, rules, sides)
+        .groupBy(*SPINE_KEYS, "account_id")
+        .agg(*per_customer)
+        .groupBy(*SPINE_KEYS)
+        .agg(*overall)
+    )
+    return (
+        spine.join(observed, list(SPINE_KEYS), "left")
+        .join(totals, list(SPINE_KEYS), "left")
+        .na.fill(zeros | {"prior_business_date_count": 0})
     )
 
 
 def _side_rows(
-    rows: DataFrame, day: str, cohort: DataFrame, rules: CohortRules, sides: Sequence[str]
+    rows: DataFrame, cohort: DataFrame, rules: CohortRules, sides: Mapping[str, int]
 ) -> DataFrame:
-    """Rows of cohort stores, once per side on which their day is reported."""
-    shift = {"current": 0, "prior": rules.lag_days}
+    """Rows of cohort stores, once per side (name -> lag) for which their day is reported."""
+    day = F.col("business_day")
     anchors = F.array(
-        *[
-            F.struct(F.lit(side).alias("side"), F.date_add(F.col(day), shift[side]).alias("anchor"))
-            for side in sides
-        ]
+        *[F.struct(F.lit(side).alias("side"), F.date_add(day, lag).alias("anchor")) for side, lag in sides.items()]
     )
-    earliest = F.date_sub(F.lit(rules.window.start), max(shift[side] for side in sides))
+    earliest = F.date_sub(F.lit(rules.window.start), max(sides.values()))
     members = cohort.select("store_group_id", "group_name", "store_id")
     anchor = F.col("a.anchor")
     return (
-        rows.filter((F.col(day) >= earliest) & (F.col(day) <= F.lit(rules.window.end)))
+        rows.filter((day >= earliest) & (day <= F.lit(rules.window.end)))
         .join(members, "store_id")
         .withColumn("a", F.explode(anchors))
         .filter(_reported(anchor, rules))
@@ -128,34 +124,17 @@ def _side_rows(
     )
 
 
-def side_totals(totals: DataFrame, side: str) -> DataFrame:
-    """One side of ``cohort_period_totals`` with its columns prefixed by the side."""
-    measures = ("business_date_count", "sales", "customers", "transaction_count")
-    return totals.filter(F.col("side") == side).select(
-        *SPINE_KEYS, *[F.col(name).alias(f"{side}_{name}") for name in measures]
-    )
-
-
 def yoy_metrics(totals: DataFrame, summary: DataFrame) -> DataFrame:
     """Sales, transactions, customers, average checks and their relative changes.
 
-    Both sides sit in one table, so they meet in an aggregation rather than a self-join.
     Money has two decimals; changes are ratios of unrounded values, rounded to four.
     """
-    measures = ("business_date_count", "sales", "transaction_count", "customers")
-    wide = totals.groupBy(*SPINE_KEYS).agg(
-        *[
-            F.max(F.when(F.col("side") == side, F.col(name))).alias(f"{side}_{name}")
-            for name in measures
-            for side in ("current", "prior")
-        ]
-    )
     check = {s: ratio(F.col(f"{s}_sales"), F.col(f"{s}_transaction_count")) for s in ("current", "prior")}
 
     def change(name: str) -> Column:
         return F.round(ratio(F.col(f"current_{name}"), F.col(f"prior_{name}")) - 1, 4)
 
-    return wide.join(summary, "store_group_id").select(
+    return totals.join(summary, "store_group_id").select(
         "store_group_id", "group_name", "year", "output_period_type",
         "fixed_store_count", "fixed_store_names", "weekday_group",
         "current_business_date_count", "prior_business_date_count",

@@ -23,7 +23,7 @@ from tillwise.operators import (
 )
 from tillwise.params import SALES_CHANNELS, CohortRules, Period, ReturnRateParams, StoreWindow
 from tillwise.plans import customer_reports, yoy_reports
-from tillwise.sources.tables import scratch_root, snapshot_table
+from tillwise.sources.tables import materialize, scratch_root, snapshot_table
 from tillwise.workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,10 +272,13 @@ def yoy_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _totals(side: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        totals = yoy.cohort_period_totals(
-            _valid(spark, sf_dir), _cohort(spark, sf_dir), RULES, _store_days(spark, sf_dir), (side,)
+        store_days = materialize(_store_days(spark, sf_dir))
+        members = materialize(
+            cohort.fixed_cohort(store_days, views.group_map(spark), views.store_groups(spark), RULES)
         )
-        return _plain(yoy.side_totals(totals, side))
+        totals = yoy.cohort_period_totals(_valid(spark, sf_dir), members, RULES, store_days)
+        measures = [c for c in totals.columns if c.startswith(side)]
+        return _plain(totals.select(*yoy.SPINE_KEYS, *measures))
 
     return query
 
@@ -372,16 +375,24 @@ def share_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prior_buyer_rollcall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(
         customer_reports.menu_test_rollcall(
-            views.order_authorizations(spark, sf_dir), views.merchant_map(spark), views.group_map(spark),
+            _landed_orders(spark, sf_dir), views.merchant_map(spark), views.group_map(spark),
             "ALL", WINDOWS, TARGETS, SALES, ZONE,
         )
     )
 
 
+def _landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Authorizations as a landed table: reports that read them more than once start there."""
+    return materialize(views.order_authorizations(spark, sf_dir))
+
+
 def _normalized_orders(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
-    return normalize.normalize_transactions(
-        views.order_authorizations(spark, sf_dir, code, "p_name"),
-        views.merchant_map(spark), views.stores(spark),
+    """Normalized transactions as a published table, which the menu reports start from."""
+    return materialize(
+        normalize.normalize_transactions(
+            views.order_authorizations(spark, sf_dir, code, "p_name"),
+            views.merchant_map(spark), views.stores(spark),
+        )
     )
 
 
@@ -405,7 +416,7 @@ def _adoption(result: str) -> Query:
 def target_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(
         customer_reports.target_item_history(
-            views.order_authorizations(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE,
+            _landed_orders(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE,
         )
     )
 
