@@ -1,0 +1,136 @@
+import math
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tillwise.functions import items as I, keys, money
+from tillwise.functions.text import fmt_g
+from tillwise.operators import baskets
+
+
+def _checks(spark, *documents):
+    return spark.createDataFrame([(i, d) for i, d in enumerate(documents)], "id int, check string")
+
+
+def test_items_and_bad_values(spark):
+    document = (
+        '{"ls":[{"p":100,"n":"tea","q":2,"pr":150},{"p":"7","n":"[big] cup","q":"1.5","pr":"x"},'
+        '{"p":{"a":1},"n":["n"],"q":"2.0","pr":null},null]}'
+    )
+    rows = baskets.explode_items(_checks(spark, document)).collect()
+    assert [(r.code, r.name, r.quantity, r.whole_quantity) for r in rows] == [
+        ("100", "tea", 2.0, 2), ("7", "[big] cup", 1.5, None), (None, None, 2.0, None), (None, None, None, None)
+    ]
+    assert [None if r.price is None else float(r.price) for r in rows] == [150.0, None, None, None]
+
+
+def test_unreadable_documents_drop_out(spark):
+    frame = _checks(spark, None, "", "nope", "[1]", '{"ls":null}', '{"ls":[]}', '{"x":1}')
+    assert baskets.explode_items(frame).count() == 0
+    flags = baskets.flag_target(frame, I.matches_code("1")).select("has_target").distinct().collect()
+    assert [r[0] for r in flags] == [False]
+
+
+def test_target_tests(spark):
+    frame = _checks(
+        spark,
+        '{"ls":[{"p":"1","n":"a","q":1,"pr":5}]}',
+        '{"ls":[{"p":"1","n":"b","q":1,"pr":0}]}',
+        '{"ls":[{"p":"1","n":"a","q":0,"pr":5},{"p":"2","n":"a","q":1.5,"pr":5}]}',
+        '{"ls":[{"n":"a","q":1,"pr":5}]}',
+    )
+
+    def hits(test):
+        flagged = baskets.flag_target(frame, test).filter("has_target")
+        return sorted(r.id for r in flagged.select("id").collect())
+
+    assert hits(I.matches_code_and_name([("1", "a")])) == [0]
+    assert hits(I.matches_code_and_name([("1", "a"), ("2", "a")])) == [0, 2]
+    assert hits(I.matches_paid_code(["1", "2"])) == [0]
+    assert hits(I.matches_code("1")) == [0, 1, 2]
+
+
+def test_compositions_and_details(spark):
+    frame = _checks(
+        spark,
+        '{"ls":[{"p":"20","n":"b","q":1,"pr":5},{"p":"100","n":"a","q":2,"pr":-5},{"p":"20","n":"b","q":3,"pr":599},'
+        '{"p":"3","n":"free","q":1,"pr":0},{"p":"4","n":"void","q":0,"pr":9},{"n":"a","q":0.5,"pr":1250}]}',
+        '{"ls":[{"p":"3","n":"free","q":0,"pr":0}]}',
+    )
+    items = I.line_items()
+    test = I.matches_code_and_name([("20", "b")])
+    full, empty = frame.select(
+        I.priced_composition(items).alias("codes"),
+        I.name_composition(items).alias("names"),
+        I.item_details(items).alias("details"),
+        I.target_item_details(items, test).alias("targets"),
+    ).collect()
+    assert full.codes == "100-20-4"
+    assert full.names == "a, b, free"
+    assert full.details == (
+        "b | 20 | q=1 | pr=5\na | 100 | q=2 | pr=-5\nb | 20 | q=3 | pr=599\nfree | 3 | q=1 | pr=0"
+    )
+    assert full.targets == "b | 20 | 0.05 | 1, b | 20 | 5.99 | 3"
+    assert list(empty) == [None, None, None, None]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.one_of(
+            st.integers(-(10**12), 10**12).map(float),
+            st.integers(-(10**6), 10**6).map(lambda n: n / 4),
+            st.integers(1, 99999).map(lambda n: n / 100),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_fmt_g_is_printf(spark, values):
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in frame.select(fmt_g(F.col("x"))).collect()]
+    assert got == ["%g" % (v + 0.0) for v in values]
+
+
+def test_fmt_g_null_and_small(spark):
+    frame = spark.createDataFrame([(None,), (0.0,), (1e-5,), (0.00012,), (1 / 3,)], "x double")
+    assert [r[0] for r in frame.select(fmt_g(F.col("x"))).collect()] == [None, "0", "1e-05", "0.00012", "0.333333"]
+
+
+def test_hash_variants(spark):
+    frame = spark.sql(
+        "SELECT 'a' AS acct, 5L AS amount, 's' AS site, 't' AS term, timestamp_ntz'2024-01-01' AS ts, d AS check "
+        "FROM VALUES ('null'), (CAST(NULL AS STRING)), ('{}') AS v(d)"
+    )
+
+    def digest(missing):
+        c = F.col
+        return keys.check_hash(c("acct"), c("check"), c("amount"), c("site"), c("term"), c("ts"), missing)
+
+    rows = frame.select("check", digest(False).alias("strict"), digest(True).alias("lenient")).collect()
+    by_check = {r.check: r for r in rows}
+    assert by_check[None].strict is None
+    assert by_check[None].lenient == by_check["null"].lenient
+    assert by_check["{}"].strict == by_check["{}"].lenient != by_check["null"].strict
+
+
+def test_key_parts_do_not_run_together(spark):
+    frame = spark.sql(
+        "SELECT timestamp_ntz'2024-01-01' AS ts, a, t FROM VALUES ('1', '23'), ('12', '3'), (NULL, 'x') AS v(a, t)"
+    )
+    key = keys.transaction_key(F.col("a"), F.col("t"), F.lit(1), F.lit("s"), F.col("ts"))
+    assert frame.select(key).distinct().count() == 3
+
+
+def test_money(spark):
+    frame = spark.sql("SELECT CAST(c AS BIGINT) AS c, CAST(d AS BIGINT) AS d FROM VALUES (1, 0), (-250, 100), (NULL, 3) AS v(c, d)")
+    rows = frame.select(
+        money.dollars(F.col("c")).alias("usd"),
+        money.cents(money.dollars(F.col("c"))).alias("back"),
+        money.ratio(F.col("c"), F.col("d")).alias("r"),
+    ).collect()
+    assert [str(r.usd) for r in rows] == ["0.01", "-2.50", "None"]
+    assert [r.back for r in rows] == [1, -250, None]
+    assert [r.r for r in rows] == [None, -2.5, None]
+    many = spark.range(100_000).select(money.dollars(F.lit(10).cast("bigint")).alias("x"))
+    assert math.isclose(float(many.agg(money.sum_dollars(F.col("x"))).first()[0]), 10_000.0, abs_tol=0)

@@ -1,0 +1,161 @@
+import random
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from tillwise.operators import activity, changes, stores, yoy
+from tillwise.params import Period, StoreWindow
+from tillwise.plans.yoy_reports import trial_store_readouts, trial_store_yoy
+
+
+def test_period_over_period_equals_the_self_join(spark):
+    rng = random.Random(3)
+    rows = {
+        (rng.choice(["S1", "S2", None]), rng.choice(["New", "Returning"]), date(2023, 1, 1) + timedelta(days=rng.randrange(60)))
+        for _ in range(150)
+    }
+    daily = spark.createDataFrame(
+        [(s, f"name {s}", t, d, Decimal(rng.randint(0, 9)), rng.randint(0, 4)) for s, t, d in rows],
+        "store_id string, store_name string, customer_type string, business_date date, sale decimal(20,2), visit bigint",
+    ).cache()
+    window = Period(date(2023, 1, 20), date(2023, 2, 25))
+    got = yoy.period_over_period(daily, window, match_keys=("store_id", "customer_type"), lag_days=14)
+    daily.createOrReplaceTempView("daily")
+    expected = spark.sql(
+        """
+        SELECT c.store_id, c.store_name, c.customer_type, c.business_date,
+               c.sale, p.sale, try_divide(CAST(c.sale - p.sale AS DOUBLE), CAST(p.sale AS DOUBLE)),
+               c.visit, p.visit, try_divide(CAST(c.visit - p.visit AS DOUBLE), CAST(p.visit AS DOUBLE)),
+               date_sub(c.business_date, 14)
+        FROM daily c LEFT JOIN daily p ON p.store_id = c.store_id AND p.customer_type = c.customer_type
+         AND p.business_date = date_sub(c.business_date, 14)
+        WHERE c.business_date BETWEEN DATE'2023-01-20' AND DATE'2023-02-25'
+        """
+    )
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, got.collect())) == sorted(map(key, expected.collect()))
+
+
+def test_comparison_group_needs_every_day(spark):
+    day = date(2024, 3, 1)
+    days = [("A", day), ("A", day - timedelta(364)), ("A", day - timedelta(546)), ("B", day), ("B", day - timedelta(364)),
+            ("C", day - timedelta(364)), ("C", day - timedelta(546))]
+    active = spark.createDataFrame(days, "store_id string, business_day date")
+    rows = activity.comparison_group(active).collect()
+    assert [(r.anchor_day, r.store_id) for r in rows] == [(day, "A")]
+    assert activity.comparison_group(active, Period(day + timedelta(1), day + timedelta(2))).count() == 0
+    anchors = spark.createDataFrame([(day - timedelta(1),)], "anchor_day date")
+    assert activity.comparison_group(active, anchors=anchors).count() == 0
+
+
+def test_median_is_an_element_and_empty_days_vanish(spark):
+    group = spark.createDataFrame(
+        [(date(2024, 1, d), f"S{i}") for d, n in ((1, 1), (2, 2), (3, 3), (4, 7)) for i in range(n)],
+        "anchor_day date, store_id string",
+    )
+    row = activity.store_count_summary(group).first()
+    assert (row.max_store, row.min_store, row.median_store_count) == (7, 1, 2)
+
+
+def test_active_is_strictly_more(spark):
+    days = spark.createDataFrame([(9,), (10,), (11,)], "txn_count bigint")
+    assert [r.txn_count for r in activity.active_store_days(days, 10).collect()] == [11]
+
+
+def test_trial_store_report_end_to_end(spark):
+    def tx(moment, amount, new, account="a", terminal="T", check="{}"):
+        return (moment, account, "M", terminal, "Purchase", amount, new, check)
+
+    later, earlier = datetime(2024, 6, 5, 3, 0), datetime(2023, 6, 7, 3, 0)
+    raw = spark.createDataFrame(
+        [
+            tx(later, 1000, True), tx(later, 1000, True), tx(later + timedelta(hours=1), 500, True, check=None),
+            tx(earlier, 600, True), tx(later, 700, None), tx(later, 1, True, terminal="elsewhere"),
+            (later, "a", "M", "T", "Refund", 99, True, "{}"),
+        ],
+        "timestamp timestamp_ntz, accountNumberId string, siteIdFrontend string, terminalId string, type string, "
+        "amount bigint, isNewAtStore boolean, check string",
+    )
+    merchants = spark.createDataFrame([("M", "T", "S1", "Online")], "merchantId string, terminalId string, storeId string, reportGroup string")
+    windows = [StoreWindow("S1", "First", date(2024, 5, 1)), StoreWindow("S2", "Other", date(2024, 5, 1))]
+    pairs = trial_store_yoy(raw, merchants, windows, Period(date(2024, 1, 1), date(2024, 6, 30)), "America/Chicago")
+    rows = {r.customer_type: r for r in pairs.collect()}
+    new = rows["New"]
+    # Two identical rows are one check; a missing document still makes a check of its own.
+    assert (new.business_date, new.current_sale, new.current_visit) == (date(2024, 6, 4), Decimal("25.00"), 2)
+    assert (new.prior_business_date, new.prior_sale, new.prior_visit) == (date(2023, 6, 6), Decimal("6.00"), 1)
+    assert new.yoy_visit_delta == 1.0
+    assert rows["Unknown"].prior_sale is None and rows["Unknown"].yoy_sale_delta is None
+    readouts = trial_store_readouts(pairs, "S1", "New")
+    assert readouts["sale_by_date"].first().current_sale == Decimal("32.00")
+    assert readouts["visit_by_store"].first().yoy_change == 1.0
+    assert readouts["visit_by_type"].count() == 1
+
+
+def test_short_and_unknown_tags_are_dropped(spark):
+    good = '{"t":["50","x","73"],"c":{"s":{"d":12345},"t":{"d":4}},"p":{"s":{"d":"100"},"t":{"d":3}}}'
+    documents = [
+        good, good, '{"t":["50"],"c":{"s":{"d":1}}}', '{"t":["50","x","77"],"c":{"s":{"d":1}}}',
+        '{"t":["52","x","70"]}', '{"t":["51","x","76"],"c":{"s":{"d":{"v":1}}}}', "broken",
+    ]
+    for kind in ("DATE", "TIMESTAMP_NTZ"):
+        frame = spark.createDataFrame([("G", 7, documents)], "storeGroupId string, storeCount bigint, changes array<string>")
+        frame = frame.withColumn("date", F.lit("2024-01-06").cast(kind))
+        rows = {r.daypart: r for r in changes.unpack_yoy_changes(frame, ["G"]).collect()}
+        assert set(rows) == {"Lunch", "LateNight"}
+        lunch = rows["Lunch"]
+        assert (lunch.current_sale, lunch.prior_sale) == (Decimal("246.90"), Decimal("2.00"))
+        assert (int(lunch.current_visit), int(lunch.prior_visit), lunch.weekday_name) == (8, 6, "Saturday")
+        assert rows["LateNight"].current_sale is None and rows["LateNight"].customer_type == "Returning"
+        assert changes.unpack_yoy_changes(frame, ["other"]).count() == 0
+
+
+def _raw(spark, rows):
+    return spark.createDataFrame(
+        rows,
+        "group_name string, store_count bigint, business_date date, weekday_name string, customer_type string, "
+        "daypart string, current_sale decimal(20,2), prior_sale decimal(20,2), current_visit bigint, prior_visit bigint",
+    )
+
+
+def test_contribution_shares_sum_to_one(spark):
+    rows = [
+        ("G", 5 + i % 3, date(2024, 1, 1 + i), "Monday" if i % 2 else "Tuesday", "New" if i % 3 else "Returning",
+         "Lunch", Decimal(100 + i), Decimal(90), 1, 1)
+        for i in range(20)
+    ]
+    frame = changes.yoy_contribution(_raw(spark, rows), "weekday_name").collect()
+    assert abs(sum(r.sale_contribution for r in frame) - 1) < 5e-4
+    total = sum(len(r.store_numbers.split(",")) for r in frame)
+    assert total == 20
+    storm = (Period(date(2024, 1, 1), date(2024, 1, 5)),)
+    kept = changes.yoy_contribution(_raw(spark, rows), "weekday_name", storm).collect()
+    assert sum(len(r.store_numbers.split(",")) for r in kept) == 15
+
+
+def test_group_pivot_weeks_and_gaps(spark):
+    rows = [
+        ("A", 1, date(2024, 1, 7), "Sunday", "New", "Lunch", Decimal(10), Decimal(5), 4, 2),
+        ("A", 1, date(2024, 1, 1), "Monday", "New", "Lunch", Decimal(10), Decimal(5), 4, 2),
+        ("B", 1, date(2024, 1, 8), "Monday", "Returning", "Lunch", Decimal(3), Decimal(0), 1, 0),
+    ]
+    weekly = changes.yoy_group_pivot(_raw(spark, rows), {"A": "a", "B": "b"}, "sale", "week").orderBy("week_start_date").collect()
+    assert [r.week_start_date for r in weekly] == [date(2024, 1, 1), date(2024, 1, 8)]
+    assert weekly[0].a_current_sale == 20 and weekly[0].a_yoy_sale_change == 1.0 and weekly[0].b_prior_sale is None
+    assert weekly[1].b_yoy_sale_change is None
+    only_new = changes.yoy_group_pivot(_raw(spark, rows), {"A": "a"}, "visit", "day", customer_type="New")
+    assert only_new.columns == ["business_date", "a_prior_visit", "a_current_visit", "a_yoy_visit_change"]
+    assert only_new.count() == 2
+
+
+def test_channel_filter(spark):
+    frame = spark.createDataFrame(
+        [("S", "Online", date(2024, 1, 1), Decimal(1)), ("S", "Kiosk", date(2024, 1, 1), Decimal(1)),
+         (None, "Online", date(2024, 1, 1), Decimal(1)), ("S", "Online", None, Decimal(1)),
+         ("S", "Online", date(2024, 1, 1), Decimal(0)), ("S", "Online", date(2024, 1, 1), None),
+         ("S", "In-store", date(2024, 1, 3), Decimal(1))],
+        "store_id string, channel_group string, business_day date, sale_in_dollar decimal(18,2)",
+    )
+    assert stores.valid_sales_channel(frame).count() == 2
+    assert stores.valid_sales_channel(frame, cutoff=date(2024, 1, 2)).count() == 1

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -19,6 +17,4 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillwise-"))
     return spark

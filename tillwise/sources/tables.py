@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -83,6 +84,11 @@ def literal_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> Da
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow_schema), schema=struct)
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="tillwise-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediates: the session's ``spark.checkpoint.dir``.
 
@@ -93,7 +99,7 @@ def scratch_root(spark: SparkSession) -> str:
     if root:
         return root
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tillwise-")
+        return _local_scratch()
     raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
