@@ -15,13 +15,17 @@ SUNDAY, MONDAY, TUESDAY, WEDNESDAY, THURSDAY, FRIDAY, SATURDAY = range(1, 8)
 WEEKDAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 
+def utc_wall_time(df: DataFrame, column: str) -> Column:
+    """An instant column as UTC wall time, exact in any session zone; other types unchanged."""
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        seconds = (F.unix_micros(column).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+        return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.col(column)
+
+
 def with_utc_wall_time(df: DataFrame, column: str = "timestamp") -> DataFrame:
     """Turn an instant column into UTC wall time; wall-time columns pass unchanged."""
-    if isinstance(df.schema[column].dataType, T.TimestampType):
-        seconds = F.unix_micros(column).cast("decimal(20,0)") / F.lit(1_000_000)
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return df.withColumn(column, epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")))
-    return df
+    return df.withColumn(column, utc_wall_time(df, column))
 
 
 def to_local(utc_wall_time: Column, time_zone: Column | str) -> Column:

@@ -12,10 +12,6 @@ def _text(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(NULL_TEXT))
 
 
-def _instant_text(utc_wall_time: Column) -> Column:
-    return F.coalesce(F.date_format(utc_wall_time, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(NULL_TEXT))
-
-
 def check_hash(
     account: Column,
     check: Column,
@@ -27,6 +23,7 @@ def check_hash(
 ) -> Column:
     """Key of one check.
 
+    ``utc_wall_time`` is TIMESTAMP_NTZ, whose text does not depend on the session zone.
     A row without a check document has no key, unless ``hash_missing_checks`` asks for the
     variant in which the missing document takes part as the JSON text ``null``.
     """
@@ -34,8 +31,7 @@ def check_hash(
     digest = F.sha2(
         F.concat_ws(
             SEPARATOR,
-            _text(account), document, _text(amount), _text(site), _text(terminal),
-            _instant_text(utc_wall_time),
+            _text(account), document, _text(amount), _text(site), _text(terminal), _text(utc_wall_time),
         ),
         256,
     )
@@ -49,8 +45,7 @@ def transaction_key(
     return F.sha2(
         F.concat_ws(
             SEPARATOR,
-            _text(account), _text(transaction_type), _text(amount), _text(site),
-            _instant_text(utc_wall_time),
+            _text(account), _text(transaction_type), _text(amount), _text(site), _text(utc_wall_time),
         ),
         256,
     )

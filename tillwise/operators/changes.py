@@ -7,7 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tillwise.functions.clock import between_days, week_start, weekday_name
+from tillwise.functions.clock import between_days, utc_wall_time, week_start, weekday_name
 from tillwise.functions.items import json_scalar
 from tillwise.functions.labels import CUSTOMER_TAGS, DAYPART_TAGS, decode
 from tillwise.functions.money import DOLLAR_TYPE, relative_change, ratio
@@ -34,7 +34,7 @@ def unpack_yoy_changes(
     def dollars(total: Column) -> Column:
         return F.round(total * F.lit(Decimal("0.01")), 2).cast(DOLLAR_TYPE)
 
-    rows = changes.withColumn("business_date", F.to_date("date"))
+    rows = changes.withColumn("business_date", F.to_date(utc_wall_time(changes, "date")))
     if groups is not None:
         rows = rows.filter(F.col("storeGroupId").isin(*groups))
     if window is not None:

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tillwise.functions.clock import utc_wall_time
+
 Source = DataFrame | Callable[[], DataFrame]
 
 
@@ -51,11 +53,7 @@ def snapshot_table(
         write_table(df, target, cluster_by=cluster_by)
     else:
         date_column = f"{timestamp_column}_date"
-        instant = F.col(timestamp_column)
-        if isinstance(df.schema[timestamp_column].dataType, T.TimestampType):
-            day = F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz")))
-        else:
-            day = F.to_date(instant)
+        day = F.to_date(utc_wall_time(df, timestamp_column))
         write_table(df.withColumn(date_column, day), target, date_column, cluster_by)
     return df.sparkSession.read.parquet(target)
 
@@ -77,7 +75,7 @@ def literal_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> Da
     Built through Arrow it becomes a LocalRelation whose exact size the optimizer knows, so
     joins to it are broadcast on evidence rather than by a hint.
     """
-    struct = T._parse_datatype_string(schema)
+    struct = T.StructType.fromDDL(schema)
     columns = list(zip(*rows)) or [()] * len(struct)
     arrow_schema = to_arrow_schema(struct)
     arrays = [pa.array(list(values), type=f.type) for values, f in zip(columns, arrow_schema)]
