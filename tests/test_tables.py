@@ -58,6 +58,15 @@ def test_a_hot_date_is_split_over_tasks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 400_000
 
 
+def test_empty_and_undated_rows_stay_readable(spark, tmp_path):
+    frame = spark.createDataFrame([(1, None)], "id int, timestamp timestamp_ntz")
+    landed = tables.snapshot_table(frame, str(tmp_path / "a"), "timestamp")
+    assert [tuple(r) for r in landed.collect()] == [(1, None, None)]
+    assert dict(landed.dtypes)["timestamp_date"] == "date"
+    empty = tables.snapshot_table(frame.limit(0), str(tmp_path / "b"), "TimeStamp")
+    assert empty.count() == 0 and "timestamp" in empty.columns
+
+
 def test_sync_several_tables(spark, tmp_path):
     facts = spark.range(10).select("id", F.lit(datetime(2024, 1, 1)).alias("timestamp"))
     landed = tables.sync_tables(

@@ -18,14 +18,13 @@ CHECK_SCHEMA = "ls array<struct<p:string,n:string,q:string,pr:string>>"
 ItemTest = Callable[[Column], Column]
 
 
-# from_json hands over a nested value as its JSON text; a scalar of the same text is no JSON.
-_SCALAR = "if(substring({0}, 1, 1) IN ('{{', '[') AND try_parse_json({0}) IS NOT NULL, NULL, {0})"
+def scalar_sql(path: str) -> str:
+    """SQL for a text field read by from_json: NULL where it was an object or array.
 
-
-def json_scalar(value: Column) -> Column:
-    """NULL where the JSON value was an object or array rather than a scalar."""
-    nested = F.substring(value, 1, 1).isin("{", "[") & F.try_parse_json(value).isNotNull()
-    return F.when(~nested, value)
+    from_json hands over a nested value as its JSON text. A scalar that starts with a bracket
+    is hardly ever valid JSON as a whole, and only such values are parsed again.
+    """
+    return f"if(substring({path}, 1, 1) IN ('{{', '[') AND try_parse_json({path}) IS NOT NULL, NULL, {path})"
 
 
 def line_items(check: str = "check") -> Column:
@@ -34,7 +33,7 @@ def line_items(check: str = "check") -> Column:
     Bad numbers become NULL. ``whole_quantity`` is NULL for a fractional quantity; NULL or
     malformed documents give a NULL array. An object or array in place of a scalar is NULL.
     """
-    code, name, quantity, price = (_SCALAR.format(f"i.{path}") for path in ("p", "n", "q", "pr"))
+    code, name, quantity, price = (scalar_sql(f"i.{path}") for path in ("p", "n", "q", "pr"))
     return F.expr(
         f"""
         transform(from_json(`{check}`, '{CHECK_SCHEMA}').ls, i -> named_struct(

@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tillwise.functions.clock import between_days, utc_wall_time, week_start, weekday_name
-from tillwise.functions.items import json_scalar
+from tillwise.functions.items import scalar_sql
 from tillwise.functions.labels import CUSTOMER_TAGS, DAYPART_TAGS, decode
 from tillwise.functions.money import DOLLAR_TYPE, relative_change, ratio
 from tillwise.params import Period
@@ -28,8 +28,8 @@ def unpack_yoy_changes(
     A document whose tag list is too short falls to the tag filter instead of failing the job.
     """
 
-    def amount(value: Column) -> Column:
-        return json_scalar(value).try_cast("decimal(38,9)")
+    def amount(path: str) -> Column:
+        return F.expr(f"try_cast({scalar_sql(f'document.{path}')} AS DECIMAL(38,9))")
 
     def dollars(total: Column) -> Column:
         return F.round(total * F.lit(Decimal("0.01")), 2).cast(DOLLAR_TYPE)
@@ -39,7 +39,7 @@ def unpack_yoy_changes(
         rows = rows.filter(F.col("storeGroupId").isin(*groups))
     if window is not None:
         rows = rows.filter(between_days(F.col("business_date"), window.start, window.end))
-    document = F.col("document")
+    tags = F.col("document.t")
     return (
         rows.select(
             F.col("storeGroupId").alias("group_name"),
@@ -50,12 +50,12 @@ def unpack_yoy_changes(
         .withColumn("document", F.from_json("change", CHANGE_SCHEMA))
         .select(
             "group_name", "store_count", "business_date",
-            F.get(document["t"], CUSTOMER_TAG_POSITION).try_cast("bigint").alias("customer_tag"),
-            F.get(document["t"], DAYPART_TAG_POSITION).try_cast("bigint").alias("daypart_tag"),
-            amount(document["c"]["s"]["d"]).alias("current_sale"),
-            amount(document["p"]["s"]["d"]).alias("prior_sale"),
-            amount(document["c"]["t"]["d"]).alias("current_visit"),
-            amount(document["p"]["t"]["d"]).alias("prior_visit"),
+            F.get(tags, CUSTOMER_TAG_POSITION).try_cast("bigint").alias("customer_tag"),
+            F.get(tags, DAYPART_TAG_POSITION).try_cast("bigint").alias("daypart_tag"),
+            amount("c.s.d").alias("current_sale"),
+            amount("p.s.d").alias("prior_sale"),
+            amount("c.t.d").alias("current_visit"),
+            amount("p.t.d").alias("prior_visit"),
         )
         .filter(F.col("customer_tag").isin(*CUSTOMER_TAGS) & F.col("daypart_tag").isin(*DAYPART_TAGS))
         .groupBy(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tillwise.functions.clock import between_days, is_saturday, month_key, weekday_name
+from tillwise.functions.clock import SATURDAY, between_days, month_key, weekday_name
 from tillwise.params import CohortRules
 
 
@@ -60,17 +60,12 @@ def _monthly_continuity(rules: CohortRules) -> Column:
 
 
 def _covered(rules: CohortRules, year: int, on_saturday: bool) -> Column:
-    day = F.col("business_day")
+    weekday = f"dayofweek(business_day) {'=' if on_saturday else '<>'} {SATURDAY}"
+    conditions = ["in_window", f"year(business_day) = {year}", weekday, f"txn_count >= {rules.daily_minimum}"]
     excluded = rules.excluded_saturdays if on_saturday else rules.excluded_non_saturdays
-    covered = (
-        F.col("in_window")
-        & (F.year(day) == year)
-        & (is_saturday(day) if on_saturday else ~is_saturday(day))
-        & (F.col("txn_count") >= rules.daily_minimum)
-    )
     if excluded:
-        covered = covered & ~day.isin(*excluded)
-    return F.count_if(covered)
+        conditions.append(f"business_day NOT IN ({', '.join(f'DATE {str(d)!r}' for d in excluded)})")
+    return F.expr(f"count_if({' AND '.join(conditions)})")
 
 
 def _all(conditions: list[Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions import clock
-from tillwise.functions.items import json_scalar
+from tillwise.functions.items import scalar_sql
 from tillwise.functions.labels import WHOLE_DAY, normalize_daypart_name
 
 # The document paths of a daypart (name, order, start, duration).
@@ -19,10 +19,9 @@ def parse_dayparts(owners: DataFrame, owner_column: str, id_alias: str = "store_
     Unnamed dayparts and the whole-day one are dropped; names are normalized.
     """
 
-    def number(value: Column) -> Column:
-        return json_scalar(value).try_cast("bigint")
+    def number(path: str) -> Column:
+        return F.expr(f"try_cast({scalar_sql(f'document.{path}')} AS BIGINT)")
 
-    document = F.col("document")
     return (
         owners.select(
             F.col(owner_column).alias(id_alias),
@@ -33,12 +32,12 @@ def parse_dayparts(owners: DataFrame, owner_column: str, id_alias: str = "store_
         .withColumn("document", F.from_json("daypart", DAYPART_SCHEMA))
         .select(
             id_alias, "owner_name", "time_zone",
-            json_scalar(document["n"]).alias("raw_name"),
-            number(document["do"]).alias("daypart_order"),
-            number(document["st"]["h"]).alias("start_hour"),
-            number(document["st"]["m"]).alias("start_minute"),
-            number(document["d"]["hs"]).alias("duration_hours"),
-            number(document["d"]["ms"]).alias("duration_minutes"),
+            F.expr(scalar_sql("document.n")).alias("raw_name"),
+            number("do").alias("daypart_order"),
+            number("st.h").alias("start_hour"),
+            number("st.m").alias("start_minute"),
+            number("d.hs").alias("duration_hours"),
+            number("d.ms").alias("duration_minutes"),
         )
         .filter(F.col("raw_name").isNotNull() & (F.col("raw_name") != WHOLE_DAY))
         .withColumns(
@@ -100,7 +99,7 @@ def daypart_business_date(tx: DataFrame, date_column: str = "business_date") ->
     ).withColumns(
         {
             "business_weekday": clock.weekday_name(F.col(date_column)),
-            "business_month_year": F.date_format(date_column, "MM_yyyy"),
-            "business_year": F.date_format(date_column, "yyyy"),
+            "business_month_year": clock.month_year(F.col(date_column)),
+            "business_year": clock.year_text(F.col(date_column)),
         }
     )

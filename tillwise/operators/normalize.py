@@ -68,11 +68,8 @@ def normalize_transactions(
 
 def publish_normalized(normalized: DataFrame, path: str) -> DataFrame:
     """Write normalized transactions partitioned by business date and clustered by their filters."""
-    write_table(
-        normalized, path, "business_date",
-        ("store_id", "account_id", "channel_group", "customer_type"),
-    )
-    return normalized.sparkSession.read.parquet(path)
+    clusters = ("store_id", "account_id", "channel_group", "customer_type")
+    return write_table(normalized, path, "business_date", clusters)
 
 
 def based_transactions(normalized: DataFrame) -> DataFrame:

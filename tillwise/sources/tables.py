@@ -18,8 +18,8 @@ Source = DataFrame | Callable[[], DataFrame]
 
 def write_table(
     df: DataFrame, path: str, partition_by: str | None = None, cluster_by: Iterable[str] = ()
-) -> None:
-    """Overwrite ``path`` with Parquet, optionally partitioned by a date and clustered.
+) -> DataFrame:
+    """Overwrite ``path`` with Parquet, optionally partitioned by a date and clustered; read it back.
 
     The rebalance hint groups rows by date so that a date does not scatter over all tasks,
     and lets adaptive execution cut a date that holds a large share of the rows into several
@@ -28,12 +28,13 @@ def write_table(
     """
     cluster = list(cluster_by)
     if partition_by is not None:
-        df = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *cluster)
-        df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        laid_out = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *cluster)
+        laid_out.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     else:
-        if cluster:
-            df = df.sortWithinPartitions(*cluster)
-        df.write.mode("overwrite").parquet(path)
+        laid_out = df.sortWithinPartitions(*cluster) if cluster else df
+        laid_out.write.mode("overwrite").parquet(path)
+    # The known schema spares the inference, and an empty table stays readable.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def snapshot_table(
@@ -50,12 +51,10 @@ def snapshot_table(
     """
     df = source() if callable(source) else source
     if timestamp_column is None:
-        write_table(df, target, cluster_by=cluster_by)
-    else:
-        date_column = f"{timestamp_column}_date"
-        day = F.to_date(utc_wall_time(df, timestamp_column))
-        write_table(df.withColumn(date_column, day), target, date_column, cluster_by)
-    return df.sparkSession.read.parquet(target)
+        return write_table(df, target, cluster_by=cluster_by)
+    date_column = f"{timestamp_column}_date"
+    dated = df.withColumn(date_column, F.to_date(utc_wall_time(df, timestamp_column)))
+    return write_table(dated, target, date_column, cluster_by)
 
 
 def sync_tables(
@@ -108,6 +107,4 @@ def materialize(df: DataFrame) -> DataFrame:
     survives lost executors, runs the upstream work once, and gives the optimizer the true
     size for its choice between broadcast and shuffled joins.
     """
-    path = f"{scratch_root(df.sparkSession)}/tillwise/{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_table(df, f"{scratch_root(df.sparkSession)}/tillwise/{uuid.uuid4().hex}")

@@ -23,7 +23,7 @@ from tillwise.operators import (
 )
 from tillwise.params import SALES_CHANNELS, CohortRules, Period, ReturnRateParams, StoreWindow
 from tillwise.plans import customer_reports, yoy_reports
-from tillwise.sources.tables import materialize, scratch_root, snapshot_table
+from tillwise.sources.tables import materialize, scratch_root, snapshot_table, sync_tables
 from tillwise.workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,9 +75,29 @@ def _plain(df: DataFrame) -> DataFrame:
 # --- ingest and normalize ---------------------------------------------------------------
 
 
+def _target(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tillwise/target-{uuid.uuid4().hex}"
+
+
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = f"{scratch_root(spark)}/tillwise/snapshot-{uuid.uuid4().hex}"
-    return snapshot_table(views.read(spark, sf_dir, "events"), target, "ts", ("event_type", "user_id"))
+    events = views.read(spark, sf_dir, "events")
+    return snapshot_table(events, _target(spark), "ts", ("event_type", "user_id"))
+
+
+def snapshot_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = {name: views.read(spark, sf_dir, name) for name in ("customer", "nation", "supplier")}
+    landed = sync_tables(sources, _target(spark))
+    customers_per_nation = landed["customer"].groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
+        F.count("*").alias("customers")
+    )
+    suppliers_per_nation = landed["supplier"].groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(
+        F.count("*").alias("suppliers")
+    )
+    return (
+        landed["nation"].select("n_nationkey", "n_name")
+        .join(customers_per_nation, "n_nationkey", "left")
+        .join(suppliers_per_nation, "n_nationkey", "left")
+    )
 
 
 def _attached(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +194,10 @@ def normalize_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_normalized(spark, sf_dir))
 
 
+def publish_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(normalize.publish_normalized(_normalized(spark, sf_dir), _target(spark)))
+
+
 def normalize_transactions_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = normalize.normalize_transactions(
         views.event_authorizations(spark, sf_dir), views.merchant_map(spark), views.stores(spark),
@@ -448,6 +472,7 @@ def visit_return_rate_weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "snapshot_roundtrip": snapshot_roundtrip,
+    "snapshot_dimensions": snapshot_dimensions,
     "attach_store": attach_store,
     "valid_sales": valid_sales,
     "valid_sales_channel": valid_sales_channel,
@@ -461,6 +486,7 @@ QUERIES: dict[str, Query] = {
     "daypart_business_date": daypart_business_date,
     "customer_type": customer_type,
     "normalize_transactions": normalize_transactions,
+    "publish_normalized": publish_normalized,
     "normalize_transactions_grouped": normalize_transactions_grouped,
     "based_transactions": based_transactions,
     "store_day_activity": store_day_activity,
