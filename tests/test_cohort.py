@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise.operators import activity, cohort, yoy
 from tillwise.params import CohortRules, Period
@@ -172,6 +173,13 @@ def test_empty_fact_side_gives_zero_rows(spark, fact, dimensions, store_days):
     assert metrics.sales_yoy_pct is None and metrics.current_average_check is None
 
 
+def test_nameless_groups_keep_their_totals(spark, fact, dimensions):
+    members, groups = dimensions
+    nameless = groups.withColumn("name", F.lit(None).cast("string"))
+    named = annual_cohort_yoy(fact, members, groups, RULES).drop("group_name")
+    assert annual_cohort_yoy(fact, members, nameless, RULES).drop("group_name").exceptAll(named).isEmpty()
+
+
 def test_pivot_keeps_both_weekday_groups(fact, dimensions):
     row = annual_cohort_yoy_pivot(fact, *dimensions, RULES).filter("store_group_id = 'ALL'").collect()
     assert len(row) == 1

@@ -144,7 +144,10 @@ def target_customer_history(
 
 
 def target_item_details(tx: DataFrame, test: I.ItemTest) -> DataFrame:
-    """Readable list of the target items of each check that has one."""
+    """Readable list of the target items of each check that has one.
+
+    Items are listed once per check, however many authorization rows carry it.
+    """
     return (
         flag_target(tx, test)
         .filter("has_target")

@@ -77,7 +77,7 @@ def cohort_period_totals(
     )
     sides = {"current": 0, "prior": rules.lag_days}
     amount = cents(F.col("sale_in_dollar"))
-    per_customer, overall, zeros = [], [], {}
+    per_customer, overall = [], []
     for side in sides:
         mine = F.col("side") == side
         n, total = F.col(f"{side}_n"), F.col(f"{side}_cents")
@@ -87,7 +87,6 @@ def cohort_period_totals(
             F.count_if((n > 0) & F.col("account_id").isNotNull()).alias(f"{side}_customers"),
             F.sum(n).alias(f"{side}_transaction_count"),
         ]
-        zeros |= {f"{side}_sales": 0, f"{side}_customers": 0, f"{side}_transaction_count": 0}
     totals = (
         _side_rows(tx, cohort, rules, sides)
         .groupBy(*SPINE_KEYS, "account_id")
@@ -95,11 +94,10 @@ def cohort_period_totals(
         .groupBy(*SPINE_KEYS)
         .agg(*overall)
     )
-    return (
-        spine.join(observed, list(SPINE_KEYS), "left")
-        .join(totals, list(SPINE_KEYS), "left")
-        .na.fill(zeros | {"prior_business_date_count": 0})
-    )
+    # A handful of rows each; merging them by key is null-safe and needs no join.
+    merged = spine.unionByName(observed, allowMissingColumns=True).unionByName(totals, allowMissingColumns=True)
+    measures = [name for name in merged.columns if name not in SPINE_KEYS]
+    return merged.groupBy(*SPINE_KEYS).agg(*[F.max(name).alias(name) for name in measures]).na.fill(0, measures)
 
 
 def _side_rows(

@@ -274,9 +274,8 @@ def non_saturday_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cohort.fixed_cohort(
-        _store_days(spark, sf_dir), views.group_map(spark), views.store_groups(spark), RULES
-    )
+    store_days = materialize(_store_days(spark, sf_dir))
+    return cohort.fixed_cohort(store_days, views.group_map(spark), views.store_groups(spark), RULES)
 
 
 def fixed_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
