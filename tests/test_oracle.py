@@ -1,4 +1,4 @@
-"""Every query against its SQL counterpart: columns, rows and exact values."""
+"""Every query of the core library against its SQL counterpart: columns, rows and exact values."""
 
 from pathlib import Path
 
@@ -6,8 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+from tillwise.workload.oracle import ORACLE
+from tillwise.workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
