@@ -8,10 +8,53 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import decontaminate, langid, line_dedup, pieces, simhash
+from tillwise.llm import (
+    chat,
+    decontaminate,
+    langid,
+    licenses,
+    line_dedup,
+    personal,
+    pieces,
+    simhash,
+    spotsigs,
+    toxicity,
+)
 from tillwise.llm.common import held_out, table
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likenesses."""
+    pairs = spotsigs.edited_pairs(table(spark, sf_dir, "documents"))
+    return pairs.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.fingerprint(F.col("signatures")).alias("fingerprint"),
+        spotsigs.fingerprint(F.col("edited_signatures")).alias("edited_fingerprint"),
+        spotsigs.likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
+        spotsigs.likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
+        spotsigs.length_partition(F.col("signatures")).alias("length_partition"),
+    )
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out(5, 0))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs.where(~F.col("held_out")).join(labels, "doc_id"))
+    scored = toxicity.score_documents(docs, model, keep=["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op3_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base counts, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.find_personal_data(docs, personal.fit(docs))
+    counts = [f"n_{kind}" for kind in personal.KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", "n_added")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     done = simhash.near_duplicate_components(table(spark, sf_dir, "documents"))
@@ -26,6 +69,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, keep=["doc_id", "held_out"])
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation, repaired and rendered."""
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every document."""
     done = pieces.encode_documents(table(spark, sf_dir, "documents"))
@@ -37,6 +85,11 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice found in every document."""
+    return licenses.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in every document, with the distance and place of the match."""
     return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -49,9 +102,14 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spotsigs": op1_spotsigs,
+    "op2_toxicity": op2_toxicity,
+    "op3_personal": op3_personal,
     "op4_simhash": op4_simhash,
     "op5_language": op5_language,
+    "op6_chat": op6_chat,
     "op7_pieces": op7_pieces,
+    "op8_licenses": op8_licenses,
     "op9_decontaminate": op9_decontaminate,
     "op10_lines": op10_lines,
     "pipeline": corpus_pipeline.run,
