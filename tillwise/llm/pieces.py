@@ -58,7 +58,7 @@ def piece_maker(path: str | None = None, entries: int = TABLE_ENTRIES):
                 chunks = text.split(" ")
             if len(ids_of) > entries:
                 ids_of = dict(blank)
-            new = list(set(chunks) - ids_of.keys())
+            new = [c for c in set(chunks) if c not in ids_of]
             if new:
                 for chunk, ids in zip(new, model.encode(new, num_threads=1), strict=True):
                     ids_of[chunk] = np.array(ids, "<u4").tobytes()
