@@ -12,6 +12,8 @@ from tillwise.llm.common import columns, fresh, let, row_key
 #: A key found in at least this many documents is dropped everywhere.
 MIN_DOCUMENTS = 10
 MIN_KEY_LENGTH = 1
+#: Parts that the lines of one digest are dealt over when they meet the shared digests.
+SALTS = 32
 BLANKS = " \t\n\x0b\f\r"
 
 
@@ -33,9 +35,9 @@ def drop_shared_lines(
     Rows, repeated ones too, come back one for one; an empty table gives none.
 
     Each row contributes a digest once, and counts are summed per task before the shuffle. The
-    dropped positions of a row come from a join of its line digests with the shared ones (a digest
-    that a third of all lines carry only makes a skewed side, which adaptive execution splits), and
-    rows are put together by position. Texts are shuffled once.
+    dropped positions of a row come from a join of its line digests with the shared ones, salted so
+    that a digest carried by a third of all lines is dealt over many tasks, and rows are put
+    together by position. Texts are shuffled once.
     """
     row, at = fresh(docs, "_row"), fresh(docs, "_at")
     keyed = docs.withColumn(row, row_key(docs))
@@ -47,12 +49,13 @@ def drop_shared_lines(
         .groupBy("digest")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") >= min_documents)
-        .select("digest")
+        .select("digest", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
     dropped = (
         digests.select(row, F.posexplode("digests").alias(at, "digest"))
         .where("digest is not null")
-        .join(shared, "digest", "left_semi")
+        .withColumn("salt", F.pmod(row, F.lit(SALTS)).cast("int"))
+        .join(shared, ["digest", "salt"], "left_semi")
         .groupBy(row)
         .agg(F.collect_set(at).alias(at))
     )
