@@ -8,20 +8,21 @@ over a text) propose windows, and Myers' bit-parallel distance verifies them.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tillwise.llm.common import SLICE_ROWS, columns, fresh
+from tillwise.llm.common import SLICE_ROWS
 
 #: Characters of an item for each edit that is allowed.
 CHARS_PER_EDIT = 12
 #: Characters of items searched for in one pass over the documents; more items take more passes.
 BLOCK_CHARS = 4_000_000
 
-HITS = "array<struct<item_id:bigint,distance:int,start:int,end:int>>"
+#: Length of the q-grams of which a window must hold as many of an item's as the budget leaves.
+GRAM = 4
 
 
 def normalise(text: str | None) -> str:
@@ -49,6 +50,17 @@ class Pattern:
         for i, char in enumerate(item):
             self.masks[char] = self.masks.get(char, 0) | 1 << i
 
+        self.grams = [item[i : i + GRAM] for i in range(self.length - GRAM + 1)]
+
+    def may_hold(self, text: str, edits: int) -> bool:
+        """False only if no substring of ``text`` is within ``edits``: an edit spoils at most GRAM of
+        the item's q-grams, all others are in the text."""
+        needed = len(self.grams) - GRAM * edits
+        if needed <= 0:
+            return True
+        there = {text[i : i + GRAM] for i in range(len(text) - GRAM + 1)}
+        return sum(map(there.__contains__, self.grams)) >= needed
+
     def best(self, text: str) -> tuple[int, int]:
         """(distance, end) of the substring of ``text`` nearest to the item, the first of equals."""
         full, top = (1 << self.length) - 1, 1 << self.length - 1
@@ -103,7 +115,8 @@ def matcher(items: list[tuple[int, str]], chars_per_edit: int = CHARS_PER_EDIT):
                 window = [window[0] if window else begin - k, begin + n + k]
                 continue
             low = max(0, window[0])
-            distance, end = forward.best(text[low : window[1]])
+            near = text[low : window[1]]
+            distance, end = forward.best(near) if forward.may_hold(near, k) else (k + 1, 0)
             if distance <= k and (best is None or distance < best[0]):
                 best = (distance, low + end)
                 if not distance:
@@ -137,51 +150,52 @@ def item_blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> Iterator[list
         yield block
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, name: str = "hits", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` with the array ``name`` of the benchmark items that each whole text contains.
+def contaminations(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(doc_id, item_id, distance, start, end), one row per row of ``docs`` and item its text contains.
 
     An item of n characters (lower-cased, white space collapsed) is contained if some substring of
-    the text, treated alike, is at most n // 12 edits away. Each hit has the item_id, the least
-    distance and the place of that substring in the treated text. Null and empty texts have no
-    hits; repeated rows and repeated items give their hits again; an empty benchmark gives none.
-    All items are searched for, ``block_chars`` characters of them per pass, so what a task holds
-    is bounded whatever the size of the benchmark.
+    the text, treated alike, is at most n // 12 edits away; the row has the least distance and the
+    place of that substring in the treated text. Null and empty texts contain nothing; repeated
+    rows and repeated items give their rows again; an empty benchmark or table gives none. Other
+    columns are ignored. All items are searched for, ``block_chars`` characters of them per pass,
+    so what a task holds is bounded whatever the size of the benchmark.
     """
-    out = docs.withColumn(name, F.array().cast(HITS))
-    for items in item_blocks(benchmark, block_chars):
-        out = out.mapInArrow(_searcher(items, name), out.schema)
-    return out
-
+    schema = "doc_id bigint, item_id bigint, distance int, start int, end int"
+    texts = docs.select("doc_id", "text")
+    passes = [texts.mapInArrow(_finder(items), schema) for items in item_blocks(benchmark, block_chars)]
+    return reduce(DataFrame.unionAll, passes) if passes else docs.sparkSession.createDataFrame([], schema)
 
-def _searcher(items: list[tuple[int, str]], name: str):
-    kind = pa.list_(
-        pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
-    )
 
+def _finder(items: list[tuple[int, str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = matcher(items)
+        names = ["doc_id", "item_id", "distance", "start", "end"]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
         for batch in batches:
             for begin in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(begin, SLICE_ROWS)
-                before = part.column(name).to_pylist()
-                keys = [f.name for f in kind.value_type]
-                hits = [
-                    old + [dict(zip(keys, hit, strict=True)) for hit in match(text)]
-                    for old, text in zip(before, part.column("text").to_pylist(), strict=True)
-                ]
-                at = part.schema.get_field_index(name)
-                yield part.set_column(at, name, pa.array(hits, type=kind))
+                ids, texts = (c.to_pylist() for c in batch.slice(begin, SLICE_ROWS).columns)
+                rows = [(i, *hit) for i, text in zip(ids, texts, strict=True) for hit in match(text)]
+                if rows:
+                    columns = [pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, distance, start, end), one row per document row and item found in it."""
-    found = find_items(docs.select("doc_id", "text"), benchmark)
-    return found.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` that contain no benchmark item (see ``contaminations``), all columns."""
+    for items in item_blocks(benchmark, block_chars):
+        docs = docs.mapInArrow(_cleaner(items), docs.schema)
+    return docs
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that contain no benchmark item."""
-    name = fresh(docs, "_hits")
-    return find_items(docs, benchmark, name).where(F.size(name) == 0).select(*columns(docs))
+def _cleaner(items: list[tuple[int, str]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        match = matcher(items)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(begin, SLICE_ROWS)
+                clean = [not match(text) for text in part.column("text").to_pylist()]
+                yield part.filter(pa.array(clean, type=pa.bool_()))
+
+    return run

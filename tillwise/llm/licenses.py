@@ -26,8 +26,6 @@ BLOCK = 8
 #: Bands of one MinHash value each.
 BANDS = 160
 CONTAINMENT = 0.8
-#: Window rows hashed at a time.
-CHUNK = 4096
 WORD = re.compile(r"\w+")
 MEMO = 200_000
 
@@ -82,10 +80,6 @@ MULTIPLIERS = _RANDOM.integers(0, 2**63, BANDS, dtype=np.uint64) * np.uint64(2)
 OFFSETS = _RANDOM.integers(0, 2**63, BANDS, dtype=np.uint64)
 
 
-def _word_hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-
-
 def shingle_hashes(hashes: np.ndarray, words: int = SHINGLE_WORDS) -> np.ndarray:
     """Hashes of the runs of ``words`` words; of the whole sequence if it is shorter."""
     if not len(hashes):
@@ -118,7 +112,7 @@ class Scanner:
         values: list[list[np.ndarray]] = []
         owners: list[int] = []
         for name, text in sorted(templates.items()):
-            shingles = shingle_hashes(self.hashes(text)[0])
+            shingles = shingle_hashes(self.hashes(text))
             if not len(shingles):
                 continue
             owner = len(self.names)
@@ -133,53 +127,64 @@ class Scanner:
         self.order = table.argsort(axis=1)
         self.sorted = np.take_along_axis(table, self.order, axis=1)
 
-    def hashes(self, text: str | None) -> tuple[np.ndarray, list[int]]:
-        """Word hashes of ``text`` and where each word starts."""
+    def hashes(self, text: str | None) -> np.ndarray:
+        """Word hashes of ``text``."""
+        words = WORD.findall((text or "").lower())
         if len(self.memo) > MEMO:
             self.memo = {}
-        memo, values, starts = self.memo, [], []
-        for found in WORD.finditer((text or "").lower()):
-            word = found.group()
+        memo = self.memo
+        for word in set(words):
             if word not in memo:
-                memo[word] = _word_hash(word)
-            values.append(memo[word])
-            starts.append(found.start())
-        return np.array(values, dtype=np.uint64), starts
-
-    def candidates(self, shingles: np.ndarray) -> set[tuple[int, int]]:
-        """(template, block) such that the window from the block on agrees with it in a band."""
-        found: set[tuple[int, int]] = set()
-        if not self.sorted.shape[1]:
+                memo[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return np.fromiter(map(memo.__getitem__, words), dtype=np.uint64, count=len(words))
+
+    def candidates(self, shingles: list[np.ndarray]) -> dict[int, list[tuple[int, int]]]:
+        """text -> (template, block) such that the window from the block on agrees with the template
+        in a band. Texts are hashed together; no window crosses from one into another."""
+        found: dict[int, list[tuple[int, int]]] = {}
+        sizes = np.array([len(x) for x in shingles], dtype=np.int64)
+        if not self.sorted.shape[1] or not sizes.sum():
             return found
-        for at in range(0, len(shingles), CHUNK * BLOCK):
-            # one block more than the chunk, for the window across its end
-            blocks = minhashes(shingles[at : at + (CHUNK + 1) * BLOCK], BLOCK)
-            windows = np.minimum(blocks, np.hstack([blocks[:, 1:], blocks[:, -1:]]))
-            for band in range(BANDS):
-                row = self.sorted[band]
-                place = np.searchsorted(row, windows[band])
-                hit = np.flatnonzero(row[np.minimum(place, len(row) - 1)] == windows[band])
-                for w in hit.tolist():
-                    p = int(place[w])
-                    while p < len(row) and row[p] == windows[band][w]:
-                        found.add((int(self.owners[self.order[band, p]]), at // BLOCK + w))
-                        p += 1
+        together = np.concatenate(shingles)
+        counts = -(-sizes // BLOCK)
+        text_of = np.repeat(np.arange(len(sizes)), counts)
+        block_of = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts = np.repeat(np.cumsum(sizes) - sizes, counts) + block_of * BLOCK
+        after = np.flatnonzero(text_of[1:] == text_of[:-1])  # blocks with a neighbour in their text
+        seen = set()
+        for band in range(BANDS):
+            blocks = np.minimum.reduceat(together * MULTIPLIERS[band] + OFFSETS[band], starts)
+            windows = blocks.copy()
+            windows[after] = np.minimum(blocks[after], blocks[after + 1])
+            row = self.sorted[band]
+            place = np.searchsorted(row, windows)
+            for w in np.flatnonzero(row[np.minimum(place, len(row) - 1)] == windows).tolist():
+                p = int(place[w])
+                while p < len(row) and row[p] == windows[w]:
+                    seen.add((int(text_of[w]), int(self.owners[self.order[band, p]]), int(block_of[w])))
+                    p += 1
+        for text, owner, block in sorted(seen):
+            found.setdefault(text, []).append((owner, block))
         return found
 
-    def scan(self, text: str | None) -> list[tuple[str, float, int]]:
-        """(template, containment, start) of each template that the text holds, best place first found."""
-        hashes, starts = self.hashes(text)
-        shingles = shingle_hashes(hashes)
-        best: dict[int, tuple[float, int]] = {}
-        for owner, block in sorted(self.candidates(shingles)):
-            length = self.lengths[owner]
-            low = max(0, block * BLOCK - length)
-            region = shingles[low : block * BLOCK + 2 * BLOCK + length]
-            inside = np.isin(region, self.sets[owner])
-            share = len(np.unique(region[inside])) / len(self.sets[owner])
-            if share >= self.containment and share > best.get(owner, (0.0, 0))[0]:
-                best[owner] = (share, starts[low + int(inside.argmax())])
-        return [(self.names[o], share, start) for o, (share, start) in sorted(best.items())]
+    def scan(self, texts: list[str | None]) -> list[list[tuple[str, float, int]]]:
+        """(template, containment, start) of each template that each text holds, where it is fullest."""
+        shingles = [shingle_hashes(self.hashes(text)) for text in texts]
+        out: list[list[tuple[str, float, int]]] = [[] for _ in texts]
+        for at, windows in self.candidates(shingles).items():
+            best: dict[int, tuple[float, int]] = {}
+            for owner, block in windows:
+                length = self.lengths[owner]
+                low = max(0, block * BLOCK - length)
+                region = shingles[at][low : block * BLOCK + 2 * BLOCK + length]
+                inside = np.isin(region, self.sets[owner])
+                share = len(np.unique(region[inside])) / len(self.sets[owner])
+                if share >= self.containment and share > best.get(owner, (0.0, 0))[0]:
+                    best[owner] = (share, low + int(inside.argmax()))
+            if best:
+                starts = [m.start() for m in WORD.finditer((texts[at] or "").lower())]
+                out[at] = [(self.names[o], share, starts[word]) for o, (share, word) in sorted(best.items())]
+        return out
 
 
 def scan_documents(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
@@ -196,11 +201,8 @@ def scan_documents(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> Da
         for batch in batches:
             for begin in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(begin, SLICE_ROWS)
-                rows = [
-                    (doc_id, *hit)
-                    for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
-                    for hit in scanner.scan(text)
-                ]
+                found = scanner.scan(part.column(1).to_pylist())
+                rows = [(i, *hit) for i, hits in zip(part.column(0).to_pylist(), found, strict=True) for hit in hits]
                 if rows:
                     kinds = (pa.int64(), pa.string(), pa.float64(), pa.int64())
                     yield pa.RecordBatch.from_arrays(

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,19 +27,19 @@ LEXICON_TERMS = 5_000
 #: Toxic documents that must have a term, and how surely it must separate.
 MIN_TOXIC_DOCUMENTS = 3
 MIN_Z = 3.5
-MIN_ODDS = 2.0
+MIN_ODDS = 3.5
 #: Beginnings of words that may be terms, for languages that inflect; written with STEM at the end.
 STEM_LENGTHS = (4, 5, 6, 7)
 STEM = "*"
-#: Term length from which one, and from which two edits are forgiven.
+#: Term length from which one edit is forgiven, at least 2 * EDGE; shorter terms must be exact.
 ONE_EDIT = 6
-TWO_EDITS = 11
+EDGE = 3
 #: Words on either side that make up the context of a match.
 WINDOW = 6
 EDIT_PENALTY = 0.5
 #: Entries after which a task starts its table of words anew; bounds memory, not results.
 MEMO = 200_000
-WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+WORD = re.compile(r"\w+")
 QUOTES = '"“”„«»‹›'
 #: Words that report what someone else said.
 REPORTING = frozenset(
@@ -49,8 +50,7 @@ REPORTING = frozenset(
 
 def edits_for(term: str) -> int:
     """Edits forgiven in a term: by its length, none in a stem, which any ending may follow."""
-    length = len(term)
-    return 0 if term.endswith(STEM) or length < ONE_EDIT else 1 if length < TWO_EDITS else 2
+    return int(len(term) >= ONE_EDIT and not term.endswith(STEM))
 
 
 class TermAutomaton:
@@ -64,6 +64,9 @@ class TermAutomaton:
         self.children: list[dict[str, int]] = [{}]
         self.term: list[tuple[str, float] | None] = [None]
         self.stems: set[int] = set()
+        # one edit leaves the first or the last EDGE characters of a term as they are
+        self.heads = {term.removesuffix(STEM)[:EDGE] for term in weights}
+        self.tails = {term[-EDGE:] for term in weights if edits_for(term)}
         self.reach = [0]  # most edits forgiven by a term below the node
         for term, weight in weights.items():
             node, allowed = 0, edits_for(term)
@@ -84,6 +87,7 @@ class TermAutomaton:
         self.number: dict[frozenset, int] = {}
         self.steps: list[dict[str, int]] = []
         self.accepts: list[tuple[str, float, int] | None] = []
+        self.dead = self._state({})
         self.start = self._state({0: 0})
 
     def _state(self, nodes: dict[int, int]) -> int:
@@ -122,10 +126,13 @@ class TermAutomaton:
 
     def find(self, word: str) -> tuple[str, float, int] | None:
         """(term, weight, edits) of the best match of ``word``, or None."""
+        if word[:EDGE] not in self.heads and word[-EDGE:] not in self.tails:
+            return None
         state = self.start
         for char in word:
-            state = self.steps[state].get(char, -1) if char in self.steps[state] else self._step(state, char)
-            if not self.sets[state]:
+            to = self.steps[state].get(char)
+            state = self._step(state, char) if to is None else to
+            if state == self.dead:
                 return None
         return self.accepts[state]
 
@@ -148,32 +155,37 @@ def featurer(lexicon: dict[str, float]):
 
     def features(text: str | None) -> tuple[list[float], int]:
         nonlocal memo, automaton
-        words, hits = [], []
-        if len(memo) > MEMO or len(automaton.sets) > MEMO:
-            memo, automaton = {}, TermAutomaton(lexicon)
-        text = text or ""
-        for found in WORD.finditer(text):
-            word = found.group().lower()
+        if len(memo) > MEMO:
+            memo = {}
+        if len(automaton.sets) > MEMO:
+            automaton = TermAutomaton(lexicon)
+        lower = (text or "").lower()
+        words = WORD.findall(lower)
+        matched = {}
+        for word in set(words):
             if word in memo:
                 match = memo[word]
             else:
                 match = memo[word] = automaton.find(word)
             if match:
-                hits.append((len(words), found.start(), match))
-            words.append(word)
-        abuse, quotation, best = 0.0, 0.0, 0.0
-        marks = [m.start() for m in re.finditer(f"[{QUOTES}]", text)] if hits else []
-        for at, start, (_, weight, edits) in hits:
-            value = weight * EDIT_PENALTY**edits
-            near = words[max(0, at - WINDOW) : at + WINDOW + 1]
-            inside = int(np.searchsorted(marks, start)) % 2 == 1 if marks else False
-            if inside or any(w in REPORTING for w in near):
-                quotation += value
-            else:
-                abuse += value
-                best = max(best, value)
+                matched[word] = match
+        abuse, quotation, best, hits = 0.0, 0.0, 0.0, 0
+        if matched:
+            marks = [m.start() for m in re.finditer(f"[{QUOTES}]", lower)]
+            for at, found in enumerate(WORD.finditer(lower)):
+                if found.group() not in matched:
+                    continue
+                hits += 1
+                _, weight, edits = matched[found.group()]
+                value = weight * EDIT_PENALTY**edits
+                near = words[max(0, at - WINDOW) : at + WINDOW + 1]
+                if bisect_left(marks, found.start()) % 2 or not REPORTING.isdisjoint(near):
+                    quotation += value
+                else:
+                    abuse += value
+                    best = max(best, value)
         size = max(1, len(words))
-        return [math.log1p(abuse), best, math.log1p(quotation), 100 * abuse / (size + 20), math.log(size)], len(hits)
+        return [math.log1p(abuse), best, math.log1p(quotation), 100 * abuse / (size + 20), math.log(size)], hits
 
     return features
 
@@ -189,7 +201,7 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return {}
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]+(?:['’][\p{L}]+)*)"), F.lit(1)))
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}\p{N}_]+"), F.lit(0)))
     stems = [
         F.transform("words", lambda w, n=n: F.when(F.length(w) > n, F.concat(F.substring(w, 1, n), F.lit(STEM))))
         for n in STEM_LENGTHS
@@ -206,7 +218,14 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
         .where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS) & (F.length("term") > 1))
     )
     rows = counted.orderBy(F.desc("z"), "term").limit(LEXICON_TERMS).select("term", "odds").collect()
-    return {term: float(odds) for term, odds in rows}
+    odds = {term: float(value) for term, value in rows}
+    return {term: value for term, value in odds.items() if not _covered(term, value, odds)}
+
+
+def _covered(term: str, value: float, odds: dict[str, float]) -> bool:
+    """Whether a shorter stem of the lexicon says as much of the words that ``term`` matches."""
+    body = term.removesuffix(STEM)
+    return any(odds.get(body[:n] + STEM, -math.inf) >= value - 1 for n in STEM_LENGTHS if n < len(body))
 
 
 def sample(labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
