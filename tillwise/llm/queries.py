@@ -35,6 +35,7 @@ def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
         spotsigs.likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
         spotsigs.likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
         spotsigs.length_partition(F.col("signatures")).alias("length_partition"),
+        "next_doc_id",
     )
 
 
