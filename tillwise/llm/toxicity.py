@@ -15,7 +15,7 @@ from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm.common import append_by_text, land
@@ -63,7 +63,7 @@ class TermAutomaton:
     def __init__(self, weights: dict[str, float]) -> None:
         self.children: list[dict[str, int]] = [{}]
         self.term: list[tuple[str, float] | None] = [None]
-        self.stems: set[int] = set()
+        self.stems: dict[int, int] = {}
         # one edit leaves the first or the last EDGE characters of a term as they are
         self.heads = {term.removesuffix(STEM)[:EDGE] for term in weights}
         self.tails = {term[-EDGE:] for term in weights if edits_for(term)}
@@ -79,10 +79,13 @@ class TermAutomaton:
                     self.reach.append(0)
                 node = self.children[node][char]
                 self.reach[node] = max(self.reach[node], allowed)
-            if self.term[node] is None or self.term[node][1] < weight:
-                self.term[node] = (term, weight)
-            if term.endswith(STEM):
-                self.stems.add(node)
+            if term.endswith(STEM):  # a node of its own, which no ending leaves
+                self.stems[node] = node = len(self.children)
+                self.children.append({})
+                self.term.append(None)
+                self.reach.append(0)
+            self.term[node] = (term, weight)
+        self.endless = set(self.stems.values())
         self.sets: list[dict[int, int]] = []
         self.number: dict[frozenset, int] = {}
         self.steps: list[dict[str, int]] = []
@@ -98,6 +101,8 @@ class TermAutomaton:
             if spent > self.reach[node] or closed.get(node, 99) <= spent:
                 continue
             closed[node] = spent
+            if not spent and node in self.stems:
+                queue.append((self.stems[node], 0))
             queue += [(child, spent + 1) for child in self.children[node].values()]
         key = frozenset(closed.items())
         if key not in self.number:
@@ -118,7 +123,7 @@ class TermAutomaton:
                 after[node] = spent
 
         for node, spent in self.sets[state].items():
-            put(node, spent + (node not in self.stems))  # a character too many, or of a stem's ending
+            put(node, spent + (node not in self.endless))  # a character too many, or of a stem's ending
             for label, child in self.children[node].items():
                 put(child, spent + (label != char))
         self.steps[state][char] = to = self._state(after)
@@ -202,14 +207,17 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     if not toxic or not clean:
         return {}
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}\p{N}_]+"), F.lit(0)))
-    stems = [
-        F.transform("words", lambda w, n=n: F.when(F.length(w) > n, F.concat(F.substring(w, 1, n), F.lit(STEM))))
-        for n in STEM_LENGTHS
-    ]
-    terms = F.array_distinct(F.array_compact(F.concat("words", *stems)))
+    documents = labelled.select(words.alias("words"), "toxic")
+
+    def stem(word: Column, length: int) -> Column:
+        return F.when(F.length(word) > length, F.concat(F.substring(word, 1, length), F.lit(STEM)))
+
+    def stems(length: int) -> Column:
+        return F.transform("words", lambda word: stem(word, length))
+
+    terms = F.array_distinct(F.array_compact(F.concat("words", *[stems(n) for n in STEM_LENGTHS])))
     counted = (
-        labelled.select(words.alias("words"), "toxic")
-        .select(F.explode(terms).alias("term"), "toxic")
+        documents.select(F.explode(terms).alias("term"), "toxic")
         .groupBy("term")
         .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
         .where(F.col("t") >= MIN_TOXIC_DOCUMENTS)
@@ -217,9 +225,19 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
         .withColumn("z", F.col("odds") / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5)))
         .where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS) & (F.length("term") > 1))
     )
-    rows = counted.orderBy(F.desc("z"), "term").limit(LEXICON_TERMS).select("term", "odds").collect()
+    found = land(counted.orderBy(F.desc("z"), "term").limit(LEXICON_TERMS).select("term", "odds"))
+    # a stem that only one word has says no more than the word
+    forms = documents.where("toxic = 1").select(F.explode("words").alias("word")).distinct()
+    shared = (
+        forms.select(F.explode(F.array(*[stem(F.col("word"), n) for n in STEM_LENGTHS])).alias("term"))
+        .join(F.broadcast(found.select("term")), "term")
+        .groupBy("term")
+        .count()
+        .where("count > 1")
+    )
+    rows = found.where(~F.col("term").endswith(STEM)).unionByName(found.join(shared.select("term"), "term")).collect()
     odds = {term: float(value) for term, value in rows}
-    return {term: value for term, value in odds.items() if not _covered(term, value, odds)}
+    return {term: value for term, value in sorted(odds.items()) if not _covered(term, value, odds)}
 
 
 def _covered(term: str, value: float, odds: dict[str, float]) -> bool:
