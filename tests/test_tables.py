@@ -95,14 +95,31 @@ def test_materialize_uses_the_shared_folder(spark):
 class _Stub:
     """A session that offers only what ``scratch_root`` looks at."""
 
-    def __init__(self, master, folder):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = type("Context", (), {"master": master})
+    def __init__(self, **conf):
+        self.conf = {key.replace("__", "."): value for key, value in conf.items()}
+        self.sparkContext = type("Context", (), {"applicationId": "app-1"})
 
 
 def test_scratch_folder_choice():
-    assert tables.scratch_root(_Stub("spark://host:7077", "s3://shared/scratch")) == "s3://shared/scratch"
-    local = tables.scratch_root(_Stub("local[2]", None))
-    assert Path(local).is_dir() and tables.scratch_root(_Stub("local[2]", None)) == local
-    with pytest.raises(ValueError):
-        tables.scratch_root(_Stub("spark://host:7077", None))
+    warehouse = {"spark__sql__warehouse__dir": "s3://warehouse"}
+    assert tables.scratch_root(_Stub(spark__checkpoint__dir="s3://shared", **warehouse)) == "s3://shared/tillwise/app-1"
+    assert tables.scratch_root(_Stub(**warehouse)) == "s3://warehouse/tillwise/app-1"
+
+
+def test_full_write_drops_old_dates_under_dynamic_overwrite(spark, tmp_path):
+    two = spark.range(2).select("id", F.expr("CAST(date_add(DATE'2024-01-01', CAST(id AS INT)) AS TIMESTAMP_NTZ)").alias("timestamp"))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for rows, n in ((two, 2), (two.filter("id = 0"), 1)):
+            assert tables.snapshot_table(rows, str(tmp_path / "t"), "timestamp").count() == n
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(18,2)", "decimal(18,6)"])
+def test_money_of_any_type_is_rounded_to_cents(spark, kind):
+    from tillwise.functions.money import sum_dollars
+
+    amounts = spark.sql("SELECT explode(array(0.29, 1.15, 2.675, CAST(NULL AS DECIMAL(9,3)))) AS v").select(F.col("v").cast(kind).alias("v"))
+    assert str(amounts.agg(sum_dollars(F.col("v")).alias("s")).first().s) == "4.12"

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 from dataclasses import replace
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 
@@ -44,14 +45,35 @@ def _numbers(rows):
     return {key: i for group in groups.values() for i, (_, key) in enumerate(sorted(group), 1)}
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 100, 3])
-def test_rank_with_and_without_hot_visitors(frame, rows, hot_rows):
-    ranked = visits.visit_rank(frame, hot_rows=hot_rows)
+def test_rank_matches_direct_numbering(frame, rows):
+    ranked = visits.visit_rank(frame)
     assert ranked.columns == [*frame.columns, "visit_number"]
     assert dict(ranked.dtypes)["visit_number"] == "int"
     assert {r.transaction_composite_key: r.visit_number for r in ranked.collect()} == _numbers(rows)
 
 
+def test_one_visitor_at_one_moment_is_split(spark):
+    rows = [("hot", "S1", datetime(2024, 1, 1, 9), n) for n in range(3000)]
+    rows += [("a", "S1", datetime(2024, 1, 1, 9), 5000 + n) for n in range(9)] + [("a", None, datetime(2024, 1, 2), 9000)]
+    saved = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = visits.visit_rank(_frame(spark, rows).repartition(8))
+        got = {r.transaction_composite_key: r.visit_number for r in ranked.collect()}
+        landed = spark.read.parquet(*{str(Path(f).parent) for f in ranked.inputFiles()})
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", saved)
+    assert got == _numbers(rows)
+    shares = [r["count"] for r in landed.filter("account_id = 'hot'").groupBy("_range").count().collect()]
+    assert len(shares) > 1 and max(shares) < 3000
+
+
+def test_ranking_has_one_plan(frame):
+    plan = visits.visit_rank(frame)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_range") and "hashpartitioning(_range" in plan
+    assert "hashpartitioning(account_id" not in plan.split("Window [row_number")[1].split("Window [sum")[0]
+
+
 def _direct(rows, params):
     """Pairs built as stated: join each visit to the pairs it starts or ends."""
     numbers = _numbers(rows)

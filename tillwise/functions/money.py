@@ -1,7 +1,8 @@
 """Exact money arithmetic.
 
-Amounts arrive as integer cents and leave as DECIMAL dollars. Sums run on BIGINT cents:
-the aggregation buffer stays a fixed-width long, and no floating-point error builds up.
+Amounts arrive as integer cents, or as dollars of any numeric type, and leave as DECIMAL dollars.
+Sums run on BIGINT cents: the aggregation buffer stays a fixed-width long, and no floating-point
+error builds up.
 """
 
 from __future__ import annotations
@@ -19,12 +20,12 @@ def dollars(cents: Column) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """Dollars with two decimals -> integer cents."""
-    return (amount * F.lit(100)).cast("bigint")
+    """Dollars -> integer cents. DOUBLE and longer decimals are rounded to two decimals first, half up."""
+    return (amount.cast(DOLLAR_TYPE) * F.lit(100)).cast("bigint")
 
 
 def sum_dollars(amount: Column) -> Column:
-    """Exact SUM of a two-decimal dollar column, NULL when every input is NULL."""
+    """SUM of a dollar column, exact to the cent, NULL when every input is NULL."""
     return dollars(F.sum(cents(amount)))
 
 

@@ -54,6 +54,7 @@ def item_share_per_customer(tx: DataFrame, test: I.ItemTest, min_orders: int = 5
     )
 
 
+# The texts of the bins.
 def _bin_label(number: int) -> str:
     low, high = (number - 1) * 10, number * 10
     return f"{low}% - <=100%" if number == HISTOGRAM_BINS else f"{low}% - <{high}%"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillwise.functions import items as I
 from tillwise.functions.clock import week_start
-from tillwise.functions.money import sum_dollars
+from tillwise.functions.money import cents, dollars
 from tillwise.operators.baskets import flag_target
 from tillwise.params import Period
 from tillwise.sources.tables import materialize
@@ -32,14 +32,21 @@ def prior_buyer_rollcall(tx: DataFrame, test: I.ItemTest) -> DataFrame:
         .select("account_id", "store_id")
         .distinct()
     )
+    # A check belongs to one customer (its key covers the account), so checks are summed before
+    # customers and both distinct counts become plain counts.
+    visit = ["week_start_date", "store_id", "account_id"]
     return (
         tx.join(buyers, ["account_id", "store_id"], "left_semi")
         .withColumn("week_start_date", week_start(F.col("business_date")))
+        .groupBy(*visit, "check_hash")
+        .agg(F.sum(cents(F.col("sale_in_dollar"))).alias("_cents"))
+        .groupBy(*visit)
+        .agg(F.count("check_hash").alias("_checks"), F.sum("_cents").alias("_cents"))
         .groupBy("week_start_date")
         .agg(
-            F.count_distinct("store_id", "account_id").alias("prior_buyer_count"),
-            F.count_distinct("store_id", "check_hash").alias("total_check_count"),
-            sum_dollars(F.col("sale_in_dollar")).alias("total_sale"),
+            F.count("*").alias("prior_buyer_count"),
+            F.sum("_checks").alias("total_check_count"),
+            dollars(F.sum("_cents")).alias("total_sale"),
         )
         .select(
             "week_start_date",
@@ -54,29 +61,40 @@ def conversion_funnel(
 ) -> dict[str, DataFrame]:
     """Pre-launch buyers of old items -> returners to the same store -> buyers of a new item.
 
-    Rows carry ``launch_date``. New items count at any of the test stores.
+    Rows carry ``launch_date``. New items count at any of the test stores. The documents are read
+    once: a row becomes two flags, rows are merged into checks and checks into the counts of a
+    customer at a store, of which all three stages are sums. Nothing runs until a stage is read.
     """
-    day, launch = F.col("business_date"), F.col("launch_date")
-    before = tx.filter((day >= F.lit(begin)) & (day < launch))
-    after = tx.filter((day >= launch) & (day <= F.lit(end)))
-    visits = F.count_distinct("check_hash").alias("visit_number")
-
-    pre_buyers = materialize(
-        flag_target(before, old_items).filter("has_target").groupBy("account_id", "store_id").agg(visits)
-    )
-    returners = materialize(
-        after.join(pre_buyers.select("account_id", "store_id"), ["account_id", "store_id"], "left_semi")
-        .groupBy("account_id")
-        .agg(visits)
+    day = F.col("business_date")
+    before = day < F.col("launch_date")
+    flagged = flag_target(
+        flag_target(tx.filter(day.between(F.lit(begin), F.lit(end))), old_items, "_old"), new_items, "_new"
     )
-    new_buyers = (
-        flag_target(after, new_items)
-        .filter("has_target")
-        .join(returners.select("account_id"), "account_id", "left_semi")
-        .groupBy("account_id")
-        .agg(visits)
+    counts = (
+        flagged.filter(F.col("check_hash").isNotNull())
+        .groupBy("account_id", "store_id", "check_hash", before.alias("_before"))
+        .agg(F.bool_or("_old").alias("_old"), F.bool_or("_new").alias("_new"))
+        .groupBy("account_id", "store_id")
+        .agg(
+            F.count_if(F.col("_before") & F.col("_old")).alias("_bought_old"),
+            F.count_if(~F.col("_before")).alias("_came_back"),
+            F.count_if(~F.col("_before") & F.col("_new")).alias("_bought_new"),
+        )
     )
-    return {"pre_buyers": pre_buyers, "returners": returners, "new_buyers": new_buyers}
+    known = F.col("_bought_old") > 0
+    customers = counts.filter(F.col("account_id").isNotNull()).groupBy("account_id").agg(
+        F.coalesce(F.sum(F.when(known, F.col("_came_back"))), F.lit(0)).alias("_came_back"),
+        F.sum("_bought_new").alias("_bought_new"),
+    ).filter(F.col("_came_back") > 0)
+    return {
+        "pre_buyers": counts.filter(known).select(
+            "account_id", "store_id", F.col("_bought_old").alias("visit_number")
+        ),
+        "returners": customers.select("account_id", F.col("_came_back").alias("visit_number")),
+        "new_buyers": customers.filter(F.col("_bought_new") > 0).select(
+            "account_id", F.col("_bought_new").alias("visit_number")
+        ),
+    }
 
 
 def adoption_lookback(

@@ -11,7 +11,6 @@ from tillwise.params import Period, ReturnRateParams
 from tillwise.sources.tables import materialize
 
 VISITOR = ("account_id", "store_id")
-HOT_VISITOR_ROWS = 1_000_000
 
 
 def store_visits(tx: DataFrame, members: DataFrame | None = None, store_id: str | None = None) -> DataFrame:
@@ -31,38 +30,29 @@ def visit_rank(
     visits: DataFrame,
     order: str = "local_time",
     tie: Sequence[str] = ("transaction_composite_key",),
-    hot_rows: int = HOT_VISITOR_ROWS,
 ) -> DataFrame:
     """Add ``visit_number``: 1, 2, ... per customer and store by local time.
 
-    One window per visitor suits ordinary visitors. A visitor with more than ``hot_rows``
-    rows (a shared or placeholder account) would be one enormous task, so a narrow count
-    finds such visitors first; there are at most total rows / ``hot_rows`` of them. Their
-    rows are ranked within each hour, and the hours' counts, added up in order, give the
-    number each hour starts from. Results are identical either way.
+    Rows are dealt into ranges of (customer, store, time, tie), so a visitor with a large share of
+    all rows (a shared or placeholder account) spreads over many tasks, even within one hour. Rows
+    are numbered inside their range; the counts of a visitor's earlier ranges, a few numbers per
+    visitor, give where its numbers start. The ranged rows are landed first, because both passes
+    must see the same ranges.
     """
     sort = [F.col(order), *[F.col(name) for name in tie]]
-    hot = materialize(
-        visits.groupBy(*VISITOR).agg(F.count("*").alias("rows")).filter(F.col("rows") > hot_rows).select(*VISITOR)
+    dealt = materialize(
+        visits.repartitionByRange(*VISITOR, *sort).withColumn("_range", F.spark_partition_id())
     )
-    if hot.isEmpty():
-        return visits.withColumn("visit_number", F.row_number().over(W.partitionBy(*VISITOR).orderBy(*sort)))
-
-    marked = visits.join(hot.withColumn("_hot", F.lit(True)), list(VISITOR), "left").withColumn(
-        "_slice", F.when(F.col("_hot"), F.date_trunc("hour", order).cast("timestamp_ntz"))
-    )
-    hours = marked.filter("_hot").groupBy(*VISITOR, "_slice").agg(F.count("*").alias("_rows"))
-    earlier = W.partitionBy(*VISITOR).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = hours.select(
-        *VISITOR, F.col("_slice"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
+    keys = ["_range", *VISITOR]
+    earlier = W.partitionBy(*VISITOR).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = dealt.groupBy(*keys).agg(F.count("*").alias("_rows")).select(
+        *[F.col(name).alias(f"{name}_of") for name in keys],
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
     )
-    ranked = marked.withColumn(
-        "_in_slice", F.row_number().over(W.partitionBy(*VISITOR, "_slice").orderBy(*sort))
-    )
-    return (
-        ranked.join(offsets, [*VISITOR, "_slice"], "left")
-        .withColumn("visit_number", (F.col("_in_slice") + F.coalesce("_offset", F.lit(0))).cast("int"))
-        .select(*visits.columns, "visit_number")
+    numbered = dealt.withColumn("_place", F.row_number().over(W.partitionBy(*keys).orderBy(*sort)))
+    same = [F.col(name).eqNullSafe(F.col(f"{name}_of")) for name in keys]
+    return numbered.join(starts, same).select(
+        *visits.columns, (F.col("_place") + F.col("_start")).cast("int").alias("visit_number")
     )
 
 

@@ -24,18 +24,35 @@ def _reported(day: Column, rules: CohortRules) -> Column:
     return keep
 
 
-def _period_labels(day: Column, rules: CohortRules) -> dict[str, Column]:
-    year = F.year(day)
-    full_year = F.lit("Full Year")
+# Labels of the report.
+FULL_YEAR, YEAR_TO_DATE = "Full Year", "YTD"
+
+
+def _labels(year: Column, saturday: Column, rules: CohortRules) -> dict[str, Column]:
+    full_year = F.lit(FULL_YEAR)
     return {
         "year": year,
         "output_period_type": full_year
         if rules.year_to_date is None
-        else F.when(year == rules.year_to_date, F.lit("YTD")).otherwise(full_year),
-        "weekday_group": F.when(is_saturday(day), F.lit("Saturday")).otherwise(F.lit("Non-Saturday")),
+        else F.when(year == rules.year_to_date, F.lit(YEAR_TO_DATE)).otherwise(full_year),
+        "weekday_group": F.when(saturday, F.lit("Saturday")).otherwise(F.lit("Non-Saturday")),
     }
 
 
+def _period_labels(day: Column, rules: CohortRules) -> dict[str, Column]:
+    return _labels(F.year(day), is_saturday(day), rules)
+
+
+def _bucket(day: Column, rules: CohortRules) -> Column:
+    """Year and weekday group of a reported day as one number, NULL for other days."""
+    return F.when(_reported(day, rules), F.year(day) * 2 + is_saturday(day).cast("int"))
+
+
+def _bucket_labels(bucket: Column, rules: CohortRules) -> dict[str, Column]:
+    """The label columns of a bucket number."""
+    return _labels(F.floor(bucket / 2).cast("int"), bucket % 2 == 1, rules)
+
+
 def yoy_date_spine(groups: DataFrame, rules: CohortRules) -> DataFrame:
     """Every reported day of each group, with the weekday-aligned day it is compared to.
 
@@ -60,9 +77,10 @@ def cohort_period_totals(
     """Date count, sales, distinct customers and transactions of both sides, side by side.
 
     A transaction counts as ``current`` on its own day and as ``prior`` for the day one lag
-    later, so one scan of the fact serves both sides. It is summed per customer first, which
-    combines rows before the shuffle, spreads a group over its customers, and makes the exact
-    distinct counts of both sides plain counts of customer rows.
+    later, so one scan of the fact serves both sides. The fact is reduced first, to one row per
+    store, customer and pair of reported buckets; only then do rows fan out over sides and groups.
+    Summing per customer spreads a group over its customers and makes the exact distinct counts
+    of both sides plain counts of customer rows.
 
     ``current`` reports calendar dates, ``prior`` dates on which a cohort store had a sale;
     the latter come from ``store_days``. Spine rows without sales appear with zeros.
@@ -76,23 +94,36 @@ def cohort_period_totals(
         .agg(F.count_distinct("business_day").alias("prior_business_date_count"))
     )
     sides = {"current": 0, "prior": rules.lag_days}
-    amount = cents(F.col("sale_in_dollar"))
     per_customer, overall = [], []
     for side in sides:
         mine = F.col("side") == side
         n, total = F.col(f"{side}_n"), F.col(f"{side}_cents")
-        per_customer += [F.count_if(mine).alias(f"{side}_n"), F.sum(F.when(mine, amount)).alias(f"{side}_cents")]
+        per_customer += [F.sum(F.when(mine, F.col("n"))).alias(f"{side}_n"), F.sum(F.when(mine, F.col("cents"))).alias(f"{side}_cents")]
         overall += [
             dollars(F.sum(total)).alias(f"{side}_sales"),
             F.count_if((n > 0) & F.col("account_id").isNotNull()).alias(f"{side}_customers"),
             F.sum(n).alias(f"{side}_transaction_count"),
         ]
+    day = F.col("business_day")
+    buckets = {side: _bucket(F.date_add(day, lag), rules) for side, lag in sides.items()}
+    reduced = (
+        _reported_rows(tx, rules, sides)
+        .join(cohort.select("store_id").distinct(), "store_id", "left_semi")
+        .groupBy("store_id", "account_id", *[bucket.alias(side) for side, bucket in buckets.items()])
+        .agg(F.count("*").alias("n"), F.sum(cents(F.col("sale_in_dollar"))).alias("cents"))
+    )
+    by_side = F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("bucket")) for side in sides])
     totals = (
-        _side_rows(tx, cohort, rules, sides)
-        .groupBy(*SPINE_KEYS, "account_id")
+        reduced.select("store_id", "account_id", "n", "cents", F.explode(by_side).alias("s"))
+        .select("store_id", "account_id", "n", "cents", "s.side", "s.bucket")
+        .filter("bucket is not null")
+        .join(cohort.select("store_group_id", "group_name", "store_id"), "store_id")
+        .groupBy("store_group_id", "group_name", "bucket", "account_id")
         .agg(*per_customer)
-        .groupBy(*SPINE_KEYS)
+        .groupBy("store_group_id", "group_name", "bucket")
         .agg(*overall)
+        .withColumns(_bucket_labels(F.col("bucket"), rules))
+        .drop("bucket")
     )
     # A handful of rows each; merging them by key is null-safe and needs no join.
     merged = spine.unionByName(observed, allowMissingColumns=True).unionByName(totals, allowMissingColumns=True)
@@ -100,6 +131,13 @@ def cohort_period_totals(
     return merged.groupBy(*SPINE_KEYS).agg(*[F.max(name).alias(name) for name in measures]).na.fill(0, measures)
 
 
+def _reported_rows(rows: DataFrame, rules: CohortRules, sides: Mapping[str, int]) -> DataFrame:
+    """Rows whose day can be reported on some side."""
+    day = F.col("business_day")
+    earliest = F.date_sub(F.lit(rules.window.start), max(sides.values()))
+    return rows.filter((day >= earliest) & (day <= F.lit(rules.window.end)))
+
+
 def _side_rows(
     rows: DataFrame, cohort: DataFrame, rules: CohortRules, sides: Mapping[str, int]
 ) -> DataFrame:
@@ -108,11 +146,10 @@ def _side_rows(
     anchors = F.array(
         *[F.struct(F.lit(side).alias("side"), F.date_add(day, lag).alias("anchor")) for side, lag in sides.items()]
     )
-    earliest = F.date_sub(F.lit(rules.window.start), max(sides.values()))
     members = cohort.select("store_group_id", "group_name", "store_id")
     anchor = F.col("a.anchor")
     return (
-        rows.filter((day >= earliest) & (day <= F.lit(rules.window.end)))
+        _reported_rows(rows, rules, sides)
         .join(members, "store_id")
         .withColumn("a", F.explode(anchors))
         .filter(_reported(anchor, rules))

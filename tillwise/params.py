@@ -1,4 +1,5 @@
-"""Parameters of the reports. Dates, groups, stores, items and thresholds are never built in."""
+"""Parameters of the reports. Dates, groups, stores and items are never built in; the thresholds
+that have a default are marked as fixed values."""
 
 from __future__ import annotations
 
@@ -50,6 +51,7 @@ class CohortRules:
     saturday_minimum: Mapping[int, int]
     report_years: tuple[int, ...]
     year_to_date: int | None = None
+    # Thresholds of the rules where a user sets no others.
     maturity_rank: int = 50
     monthly_minimum: int = 100
     daily_minimum: int = 10
@@ -85,6 +87,7 @@ class ReturnRateParams:
 
     period_1: Period
     period_2: Period
+    # Visits that start a pair where a user sets no others.
     start_visit_min: int = 1
     start_visit_max: int = 9
     max_visit: int = 10

@@ -122,9 +122,17 @@ def trial_store_readouts(
 
 
 def group_yoy_readouts(
-    raw: DataFrame, groups: Mapping[str, str], excluded: Iterable[Period] = ()
+    raw: DataFrame,
+    groups: Mapping[str, str],
+    excluded: Iterable[Period] = (),
+    sale_customer_type: str | None = "Returning",
+    visit_customer_type: str | None = "New",
 ) -> dict[str, DataFrame]:
-    """Group pivots of the unpacked change table: daily for everyone, weekly by customer type."""
+    """Group pivots of the unpacked change table: daily for everyone, weekly by customer type.
+
+    ``raw`` is the published change table; the weekly readouts each choose a customer type, or
+    None for everyone.
+    """
     excluded = tuple(excluded)
 
     def pivot(measure: str, grain: str, customer_type: str | None = None) -> DataFrame:
@@ -134,8 +142,8 @@ def group_yoy_readouts(
     return {
         "daily_visit": pivot("visit", "day"),
         "daily_sale": pivot("sale", "day"),
-        "weekly_sale": pivot("sale", "week", "Returning"),
-        "weekly_visit": pivot("visit", "week", "New"),
+        "weekly_sale": pivot("sale", "week", sale_customer_type),
+        "weekly_visit": pivot("visit", "week", visit_customer_type),
     }
 
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -29,7 +27,9 @@ def write_table(
     cluster = list(cluster_by)
     if partition_by is not None:
         laid_out = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *cluster)
-        laid_out.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        # A full write replaces all dates, whatever overwrite mode the session has.
+        writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(partition_by).parquet(path)
     else:
         laid_out = df.sortWithinPartitions(*cluster) if cluster else df
         laid_out.write.mode("overwrite").parquet(path)
@@ -37,6 +37,16 @@ def write_table(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def publish_report(
+    report: DataFrame, path: str, partition_by: str | None = None, cluster_by: Iterable[str] = ()
+) -> DataFrame:
+    """Write a finished report and return the written table, from which its readouts start.
+
+    Several readouts then scan the small table instead of computing the report once each.
+    """
+    return write_table(report, path, partition_by, cluster_by)
+
+
 def snapshot_table(
     source: Source,
     target: str,
@@ -81,23 +91,21 @@ def literal_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> Da
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow_schema), schema=struct)
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tillwise-")
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediates: the session's ``spark.checkpoint.dir``.
+    """Shared folder for this application's intermediates.
 
-    Only a local session, where driver and tasks share one disk, may fall back to a
-    temporary folder.
+    It is under the session's ``spark.checkpoint.dir``; where that is unset, under the warehouse,
+    which driver and executors share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if spark.sparkContext.master.startswith("local"):
-        return _local_scratch()
-    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root}/tillwise/{spark.sparkContext.applicationId}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete the intermediates of this application, once its reports are written."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -107,4 +115,4 @@ def materialize(df: DataFrame) -> DataFrame:
     survives lost executors, runs the upstream work once, and gives the optimizer the true
     size for its choice between broadcast and shuffled joins.
     """
-    return write_table(df, f"{scratch_root(df.sparkSession)}/tillwise/{uuid.uuid4().hex}")
+    return write_table(df, f"{scratch_root(df.sparkSession)}/{uuid.uuid4().hex}")

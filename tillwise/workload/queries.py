@@ -5,10 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillwise.functions import items as I, labels
+from tillwise.functions.money import sum_dollars
 from tillwise.operators import (
     activity,
     baskets,
@@ -23,15 +25,22 @@ from tillwise.operators import (
 )
 from tillwise.params import SALES_CHANNELS, CohortRules, Period, ReturnRateParams, StoreWindow
 from tillwise.plans import customer_reports, yoy_reports
-from tillwise.sources.tables import materialize, scratch_root, snapshot_table, sync_tables
+from tillwise.sources.tables import materialize, publish_report, scratch_root, snapshot_table, sync_tables
 from tillwise.workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ZONE = "America/Chicago"
 SALES = views.SALES_WINDOW
+DIMENSIONS = {
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+    "supplier": ("s_suppkey", "s_name", "s_nationkey"),
+    "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size"),
+}
 COMPARED = Period(date(1996, 1, 1), SALES.end)
-STORM = (Period(date(1996, 1, 24), date(1996, 1, 27)),)
+CLOSURES = (Period(date(1997, 6, 9), date(1997, 6, 19)), Period(date(1999, 10, 4), date(1999, 10, 4)))
 PIVOT_GROUPS = {"ALL": "brand", "G0": "even", "G1": "odd"}
 TARGETS = (("Brand#1", "ECONOMY"), ("Brand#1", "LARGE"), ("Brand#2", "PROMO"), ("Brand#3", "SMALL"))
 OLD_CODES = ("Brand#1", "Brand#2", "Brand#3", "Brand#4")
@@ -57,8 +66,8 @@ RULES = CohortRules(
     coverage_years=(1996, 1997, 1998, 1999, 2000),
     report_years=(1996, 1997, 1998, 1999, 2000, 2001),
     year_to_date=2001,
-    excluded_saturdays=(date(2001, 1, 27),),
-    excluded_non_saturdays=(date(2001, 1, 28), date(2001, 1, 29), date(2001, 1, 30)),
+    excluded_saturdays=(date(1998, 11, 14), date(2000, 5, 20)),
+    excluded_non_saturdays=(date(1998, 11, 12), date(2000, 8, 3)),
 )
 
 
@@ -76,7 +85,7 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 def _target(spark: SparkSession) -> str:
-    return f"{scratch_root(spark)}/tillwise/target-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/target-{uuid.uuid4().hex}"
 
 
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,19 +94,17 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sources = {name: views.read(spark, sf_dir, name) for name in ("customer", "nation", "supplier")}
+    """Every landed row of every dimension, its columns as text."""
+    sources = {name: views.read(spark, sf_dir, name) for name in DIMENSIONS}
     landed = sync_tables(sources, _target(spark))
-    customers_per_nation = landed["customer"].groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
-        F.count("*").alias("customers")
-    )
-    suppliers_per_nation = landed["supplier"].groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(
-        F.count("*").alias("suppliers")
-    )
-    return (
-        landed["nation"].select("n_nationkey", "n_name")
-        .join(customers_per_nation, "n_nationkey", "left")
-        .join(suppliers_per_nation, "n_nationkey", "left")
-    )
+    rows = [
+        table.select(
+            F.lit(name).alias("table_name"),
+            *[F.col(c).cast("string").alias(f"column_{i}") for i, c in enumerate(DIMENSIONS[name])],
+        )
+        for name, table in landed.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
 
 
 def _attached(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,9 +154,10 @@ def parse_dayparts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daypart_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.get_json_object(F.col("dayParts")[0], "$.n")
-    return views.supplier_stores(spark, sf_dir).select(
-        "storeId", raw.alias("raw_name"), labels.normalize_daypart_name(raw).alias("daypart_name")
+    documents = views.supplier_stores(spark, sf_dir).select("storeId", F.posexplode("dayParts").alias("position", "document"))
+    raw = F.get_json_object("document", "$.n")
+    return documents.select(
+        "storeId", "position", raw.alias("raw_name"), labels.normalize_daypart_name(raw).alias("daypart_name")
     )
 
 
@@ -183,6 +191,12 @@ def customer_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def money_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Money that arrives as DOUBLE, summed exactly to the cent."""
+    lines = views.read(spark, sf_dir, "lineitem")
+    return _plain(lines.groupBy("l_suppkey").agg(sum_dollars(F.col("l_extendedprice")).alias("total_price")))
+
+
 def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalize_transactions(
         views.event_authorizations(spark, sf_dir), views.merchant_map(spark), views.stores(spark),
@@ -203,7 +217,20 @@ def normalize_transactions_grouped(spark: SparkSession, sf_dir: str) -> DataFram
         views.event_authorizations(spark, sf_dir), views.merchant_map(spark), views.stores(spark),
         group_map=views.group_map(spark), group_prefix="G",
     )
-    return rows.groupBy("store_id", "daypart_name", "business_date").agg(F.count("*").alias("row_count"))
+    return rows.select(
+        "transaction_composite_key", "check_hash", "store_id", "account_id", "customer_type", "daypart_name", "business_date"
+    )
+
+
+def normalize_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalization from a landed snapshot, whose date partitions the time bound prunes."""
+    landed = snapshot_table(
+        views.event_authorizations(spark, sf_dir), _target(spark), "timestamp", ("siteIdFrontend", "terminalId")
+    )
+    rows = normalize.normalize_transactions(
+        landed, views.merchant_map(spark), views.stores(spark), after=datetime(2024, 1, 19, 7, 30)
+    )
+    return _plain(rows)
 
 
 def based_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,9 +359,17 @@ def period_over_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_pairs(spark, sf_dir))
 
 
+def _published_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish_report(_pairs(spark, sf_dir), _target(spark), cluster_by=("store_id", "customer_type", "business_date"))
+
+
+def publish_trial_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(_published_pairs(spark, sf_dir))
+
+
 def _readout(name: str) -> Query:
     return lambda spark, sf_dir: _plain(
-        yoy_reports.trial_store_readouts(_pairs(spark, sf_dir), "S2")[name]
+        yoy_reports.trial_store_readouts(_published_pairs(spark, sf_dir), "S2")[name]
     )
 
 
@@ -346,15 +381,23 @@ def unpack_yoy_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_raw_changes(spark, sf_dir))
 
 
+def _published_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish_report(_raw_changes(spark, sf_dir), _target(spark), cluster_by=("group_name", "business_date"))
+
+
+def publish_raw_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(_published_changes(spark, sf_dir))
+
+
 def _contribution(dimension: str) -> Query:
     return lambda spark, sf_dir: _plain(
-        yoy_reports.year_to_date_contribution(_raw_changes(spark, sf_dir), "G0", STORM)[dimension]
+        yoy_reports.year_to_date_contribution(_published_changes(spark, sf_dir), "G0", CLOSURES)[dimension]
     )
 
 
 def _pivot(name: str) -> Query:
     return lambda spark, sf_dir: _plain(
-        yoy_reports.group_yoy_readouts(_raw_changes(spark, sf_dir), PIVOT_GROUPS, STORM)[name]
+        yoy_reports.group_yoy_readouts(_published_changes(spark, sf_dir), PIVOT_GROUPS, CLOSURES)[name]
     )
 
 
@@ -398,24 +441,15 @@ def share_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prior_buyer_rollcall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(
         customer_reports.menu_test_rollcall(
-            _landed_orders(spark, sf_dir), views.merchant_map(spark), views.group_map(spark),
+            views.order_authorizations(spark, sf_dir), views.merchant_map(spark), views.group_map(spark),
             "ALL", WINDOWS, TARGETS, SALES, ZONE,
         )
     )
 
 
-def _landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Authorizations as a landed table: reports that read them more than once start there."""
-    return materialize(views.order_authorizations(spark, sf_dir))
-
-
 def _normalized_orders(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
-    """Normalized transactions as a published table, which the menu reports start from."""
-    return materialize(
-        normalize.normalize_transactions(
-            views.order_authorizations(spark, sf_dir, code, "p_name"),
-            views.merchant_map(spark), views.stores(spark),
-        )
+    return normalize.normalize_transactions(
+        views.order_authorizations(spark, sf_dir, code, "p_name"), views.merchant_map(spark), views.stores(spark)
     )
 
 
@@ -439,7 +473,16 @@ def _adoption(result: str) -> Query:
 def target_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(
         customer_reports.target_item_history(
-            _landed_orders(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE,
+            views.order_authorizations(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE,
+        )
+    )
+
+
+def target_customer_history_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(
+        customer_reports.target_item_history(
+            views.order_authorizations(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE,
+            with_target_details=True, display_names=True,
         )
     )
 
@@ -484,8 +527,10 @@ QUERIES: dict[str, Query] = {
     "assign_daypart_left": assign_daypart_left,
     "daypart_business_date": daypart_business_date,
     "customer_type": customer_type,
+    "money_double": money_double,
     "normalize_transactions": normalize_transactions,
     "publish_normalized": publish_normalized,
+    "normalize_landed": normalize_landed,
     "normalize_transactions_grouped": normalize_transactions_grouped,
     "based_transactions": based_transactions,
     "store_day_activity": store_day_activity,
@@ -506,10 +551,12 @@ QUERIES: dict[str, Query] = {
     "annual_cohort_yoy": annual_cohort_yoy,
     "annual_cohort_yoy_pivot": annual_cohort_yoy_pivot,
     "period_over_period": period_over_period,
+    "publish_trial_yoy": publish_trial_yoy,
     "yoy_rollup_date": _readout("sale_by_date"),
     "yoy_rollup_store": _readout("visit_by_store"),
     "yoy_rollup_type": _readout("visit_by_type"),
     "unpack_yoy_changes": unpack_yoy_changes,
+    "publish_raw_changes": publish_raw_changes,
     "contribution_weekday": _contribution("weekday_name"),
     "contribution_daypart": _contribution("daypart"),
     "pivot_daily_visit": _pivot("daily_visit"),
@@ -532,6 +579,7 @@ QUERIES: dict[str, Query] = {
     "composition_counts": _adoption("composition_counts"),
     "composition_top10": _adoption("top_compositions"),
     "target_customer_history": target_customer_history,
+    "target_customer_history_display": target_customer_history_display,
     "target_item_details": target_item_details,
     "visit_rank": visit_rank,
     "visit_return_rate": visit_return_rate,
