@@ -55,3 +55,15 @@ def test_distant_codewords_make_ambiguity():
     model = langid.Model(("a", "b", "c"), langid.codewords(3), np.zeros((2 * langid.BUCKETS, 3), dtype=np.float32))
     language, score, ambiguous = langid.predictor(model)()("no weights, no lead")
     assert language == "a" and abs(score - 1 / 3) < 1e-9 and ambiguous
+
+
+def test_sample_is_the_smallest_hashes(spark):
+    from pyspark.sql import functions as F
+
+    from tillwise.llm.common import hashed_sample
+
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 50 == 0, "rare").otherwise("common").alias("lang"))
+    got = {(r.doc_id, r.lang) for r in hashed_sample(rows.unionByName(rows), "lang", 100).collect()}
+    hashed = rows.withColumn("h", F.xxhash64("doc_id")).orderBy("h").collect()
+    want = {(r.doc_id, r.lang) for lang in ("rare", "common") for r in [x for x in hashed if x.lang == lang][:100]}
+    assert got == want

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +101,20 @@ def append_by_text(
     return df.select(*[F.col(f"`{c}`") for c in inputs]).mapInArrow(run, schema)
 
 
+def hashed_sample(rows: DataFrame, label: str, size: int) -> DataFrame:
+    """(doc_id, ``label``) of the ``size`` rows of each label whose ids have the smallest hashes.
+
+    A label's count gives a hash under which about twice that many of its rows lie; only those are
+    ranked, so the task that ranks a label reads rows in proportion to ``size``, not to the table.
+    """
+    ids = rows.select("doc_id", label).distinct()
+    counts = ids.groupBy(label).agg(F.count("*").alias("n"))  # one row per label
+    place = F.xxhash64("doc_id") / F.lit(2.0**64) + F.lit(0.5)
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id"))
+    near = ids.join(F.broadcast(counts), label).where(place * F.col("n") < 2.0 * size + 100)
+    return near.withColumn("n", rank).where(F.col("n") <= size).select("doc_id", label)
+
+
 def held_out(modulus: int, remainder: int) -> Column:
     """Whether crc32 of the doc_id as text leaves ``remainder``; a null id is treated as ''."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus == remainder

@@ -11,10 +11,10 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import append_by_text
+from tillwise.llm.common import append_by_text, hashed_sample
 
 UNKNOWN = "und"
 #: Labelled rows per language that the bit classifiers are fitted on (whole texts, chosen by the
@@ -79,14 +79,7 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     languages. The sample's n-gram counts are taken in tasks; their sums reach the driver.
     """
     rows = labelled.where("lang is not null and text is not null")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        rows.select("doc_id", "lang")
-        .withColumn("rank", F.row_number().over(first))
-        .where(F.col("rank") <= per_language)
-        .select("doc_id", "lang")
-        .distinct()
-    )
+    chosen = hashed_sample(rows, "lang", per_language)
     sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
 
     def count(batches):

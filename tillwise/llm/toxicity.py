@@ -15,10 +15,10 @@ from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import append_by_text, land
+from tillwise.llm.common import append_by_text, hashed_sample, land
 
 #: Labelled rows of each label that lexicon and weights are fitted on, chosen by the hash of their id.
 SAMPLE_PER_LABEL = 10_000
@@ -249,9 +249,8 @@ def _covered(term: str, value: float, odds: dict[str, float]) -> bool:
 def sample(labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
     """At most ``per_label`` rows of either label of ``labelled`` (doc_id, text, toxic)."""
     rows = labelled.where("toxic in (0, 1) and text is not null")
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = rows.select("doc_id", "toxic").distinct().withColumn("rank", rank).where(F.col("rank") <= per_label)
-    return rows.select("doc_id", "text", "toxic").join(ids.select("doc_id", "toxic"), ["doc_id", "toxic"], "left_semi")
+    ids = hashed_sample(rows, "toxic", per_label)
+    return rows.select("doc_id", "text", "toxic").join(ids, ["doc_id", "toxic"], "left_semi")
 
 
 def fit(labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Model:
