@@ -79,14 +79,16 @@ def launch_conversion(
     begin: date,
     end: date,
 ) -> dict[str, DataFrame]:
-    """Funnel from pre-launch buyers of old items to post-launch buyers of the new ones."""
+    """Funnel from pre-launch buyers of old items to post-launch buyers of the new ones.
+
+    Customer lists are not sorted: a sort of all customers belongs to whoever shows or writes them.
+    """
     members = stores.group_members(group_map, group_id).select("store_id")
     rows = stores.attach_windows(_normalized_sales(normalized, Period(begin, end)), windows)
-    funnel = customers.conversion_funnel(
+    return customers.conversion_funnel(
         rows.join(members, "store_id"),
         I.matches_paid_code(old_codes), I.matches_paid_code(new_codes), begin, end,
     )
-    return funnel | {"new_buyers": funnel["new_buyers"].orderBy(F.col("visit_number").desc(), "account_id")}
 
 
 def adopter_baskets(
@@ -97,20 +99,23 @@ def adopter_baskets(
     lookback: Period,
     top: int = 10,
 ) -> dict[str, DataFrame]:
-    """What adopters of a new item used to order: customers, checks, compositions, top slices."""
+    """What adopters of a new item used to order: customers, checks, compositions, top slices.
+
+    Only the top slices are in order; the lists are left unsorted.
+    """
     span = Period(lookback.start, launch.end)
     rows = _normalized_sales(normalized, span).filter(F.col("store_id").isin(*store_ids))
     result = customers.adoption_lookback(rows, I.matches_code(new_code), launch, lookback)
     compositions = baskets.basket_composition(result["lookback_transactions"])
     counts = baskets.composition_counts(compositions)
     return {
-        "adopters": result["adopters"].orderBy("account_id"),
-        "lookback_customers": result["lookback_customers"].orderBy("account_id"),
+        "adopters": result["adopters"],
+        "lookback_customers": result["lookback_customers"],
         "lookback_transactions": result["lookback_transactions"].select(
             "check_hash", "account_id", "sale_in_dollar", "timestamp", "check"
         ),
         "compositions": compositions.select("check_composition_id").distinct(),
-        "composition_counts": counts.orderBy(F.col("check_count").desc(), "check_composition_id"),
+        "composition_counts": counts,
         "top_compositions": baskets.top_k_plus_others(counts, top),
     }
 
