@@ -57,8 +57,12 @@ def labelled(spark, n=1200):
     return spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
 
 
+def fit(rows):
+    return toxicity.fit(rows.drop("toxic"), rows.drop("text"))
+
+
 def test_planted_terms_are_learned(spark):
-    model = toxicity.fit(labelled(spark))
+    model = fit(labelled(spark))
     assert {"dreadful", "abominable"} <= set(model.lexicon) and any(t.startswith("grim") and t.endswith("*") for t in model.lexicon)
     texts = ["stone river dreadful cloud apple", "stone river dreadfull cloud apple", "a grimstock in the cloud", "stone river cloud apple", None]
     rows = toxicity.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model).collect()
@@ -66,13 +70,13 @@ def test_planted_terms_are_learned(spark):
 
 
 def test_defined_results(spark, edge_docs, no_docs):
-    model = toxicity.fit(labelled(spark, 100))
+    model = fit(labelled(spark, 100))
     rows = toxicity.score_documents(edge_docs, model, keep=["doc_id", "text"]).collect()
     assert len(rows) == edge_docs.count() and all(0 <= r.score <= 1 for r in rows)
     assert len({r.score for r in rows if r.text in (None, "", "!!! ???")}) == 1
     assert toxicity.score_documents(no_docs, model).count() == 0
     for labels in (labelled(spark).where("false"), labelled(spark).where("toxic = 0")):
-        bare = toxicity.fit(labels)
+        bare = fit(labels)
         assert bare.lexicon == {} and all(0 <= r.score <= 1 for r in toxicity.score_documents(edge_docs, bare).collect())
 
 

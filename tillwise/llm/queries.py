@@ -43,7 +43,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out(5, 0))
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.fit(docs.where(~F.col("held_out")).join(labels, "doc_id"))
+    model = toxicity.fit(docs.where(~F.col("held_out")), labels)
     scored = toxicity.score_documents(docs, model, keep=["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

@@ -144,7 +144,7 @@ class TermAutomaton:
 
 @dataclass(frozen=True)
 class Model:
-    """Lexicon and logistic weights (bias first); ``prior`` scores texts if nothing was learned."""
+    """Lexicon and logistic weights (bias first)."""
 
     lexicon: dict[str, float]
     weights: tuple[float, ...]
@@ -246,20 +246,26 @@ def _covered(term: str, value: float, odds: dict[str, float]) -> bool:
     return any(odds.get(body[:n] + STEM, -math.inf) >= value - 1 for n in STEM_LENGTHS if n < len(body))
 
 
-def sample(labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
-    """At most ``per_label`` rows of either label of ``labelled`` (doc_id, text, toxic)."""
-    rows = labelled.where("toxic in (0, 1) and text is not null")
-    ids = hashed_sample(rows, "toxic", per_label)
-    return rows.select("doc_id", "text", "toxic").join(ids, ["doc_id", "toxic"], "left_semi")
+def sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
+    """(text, toxic) of at most ``per_label`` rows of either label.
+
+    Labels meet ids alone; the ids chosen, 2 * ``per_label`` at most, are broadcast to the texts.
+    """
+    labelled = docs.select("doc_id").join(labels.where("toxic in (0, 1)").select("doc_id", "toxic"), "doc_id")
+    ids = F.broadcast(hashed_sample(labelled, "toxic", per_label))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return texts.join(ids, "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
-def fit(labelled: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Model:
-    """Lexicon and weights from ``labelled`` (doc_id, text, toxic 0/1); bounded by ``per_label``.
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Model:
+    """Lexicon and weights from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic 0/1).
 
-    Texts, not their features, stay in Spark; the driver sees a few numbers per sampled row. No
-    labelled rows of either label: an empty lexicon and the share of toxic rows as every score.
+    Bounded by ``per_label``. Texts, not their features, stay in Spark; the driver sees a few
+    numbers per sampled row. Documents without a label and labels without a document are left out.
+    Rows of one label only: an empty lexicon and a score near that label for every text; no
+    labelled rows: a score near 0.
     """
-    rows = land(sample(labelled, per_label).select("text", F.col("toxic").cast("int").alias("toxic")))
+    rows = land(sample(docs, labels, per_label))
     lexicon = learn_lexicon(rows)
     measured = append_by_text(rows, _feature_maker(lexicon), [("f0", "double"), ("f1", "double"), ("f2", "double"), ("f3", "double"), ("f4", "double")], keep=["toxic"])
     data = np.array([tuple(r) for r in measured.collect()], dtype=float).reshape(-1, 1 + FEATURES)
@@ -279,7 +285,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     design = np.hstack([np.ones((len(x), 1)), x])
     w = np.zeros(design.shape[1])
     if not len(y) or y.min() == y.max():
-        w[0] = 0.0 if not len(y) else (8.0 if y[0] else -8.0)
+        w[0] = 8.0 if len(y) and y[0] else -8.0
         return w
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
