@@ -88,3 +88,66 @@ def test_held_out_separation(spark, sf_dir_small):
     auc = np.mean([(a > b) + 0.5 * (a == b) for a in toxic for b in clean])
     assert auc > 0.75
     assert all(r.predicted == int(r.score >= 0.5) for r in rows.values())
+
+
+def swap_distance(a, b):
+    """Edits between ``a`` and ``b``, where two neighbouring letters in each other's place are one."""
+    d = {(i, j): i + j for i in range(len(a) + 1) for j in range(len(b) + 1) if not i or not j}
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a), len(b)]
+
+
+def test_automaton_with_swaps_finds_what_distances_find(monkeypatch):
+    monkeypatch.setattr(toxicity, "AUTOMATON_ENTRIES", 3_000)  # starts anew now and then
+    pick = random.Random(4)
+    word = lambda low, high: "".join(pick.choices("abc", k=pick.randint(low, high)))
+    terms = {word(2, 12): float(i) for i in range(1, 40)} | {word(4, 5) + toxicity.STEM: 20.0 + i for i in range(4)}
+    automaton = toxicity.TermAutomaton(terms, swaps=True)
+    for _ in range(4_000):
+        w, best = word(1, 14), 0.0
+        for term, weight in terms.items():
+            if term.endswith(toxicity.STEM):
+                best = max(best, weight if w.startswith(term[:-1]) else 0.0)
+            elif abs(len(w) - len(term)) <= 2 and (d := swap_distance(w, term)) <= toxicity.edits_for(term):
+                best = max(best, weight * toxicity.EDIT_PENALTY**d)
+        match = automaton.find(w)
+        assert (match[1] * toxicity.EDIT_PENALTY ** match[2] if match else 0.0) == best, w
+
+
+def test_every_length_forgives_its_edits():
+    letters = "abcdefghijklmnop"
+    for n in range(2, len(letters) + 1):
+        term = letters[:n]
+        find = toxicity.TermAutomaton({term: 4.0}, swaps=True).find
+        edits = (n >= 4) + (n >= 8)
+        assert toxicity.edits_for(term) == edits and find(term) == (term, 4.0, 0)
+        once = {term[:i] + x + term[i + cut :] for i in range(n + 1) for x in ("z", "") for cut in (0, 1)}
+        once |= {term[:i] + term[i + 1] + term[i] + term[i + 2 :] for i in range(n - 1)}
+        for word in once - {term}:
+            assert find(word) == ((term, 4.0, 1) if edits else None), word
+        if n > 5:
+            twice = {term[1] + term[0] + term[2:-2] + term[-1] + term[-2], "z" + term[:-1] + "y", "z" + term[1:] + "z", term[1:-1]}
+            for word in twice:
+                assert find(word) == ((term, 4.0, 2) if edits == 2 else None), word
+
+
+def test_short_terms_are_found_misspelled():
+    features = toxicity.featurer(dict.fromkeys(["idiot", "moron", "clown", "loser", "scum", "worthless"], 7.0))
+    for word in ("idiott", "id1ot", "idoit", "morron", "clwon", "looser", "sucm", "wrothless", "wortles"):
+        values, matches = features(f"you are a {word} and more")
+        assert matches == 1 and values[0] > 0, word
+
+
+def test_frequent_clean_words_are_no_misspellings(spark):
+    rows = [(i, "you clown of the river" if i % 4 == 0 else f"the crown of the river w{i}", int(i % 4 == 0)) for i in range(200)]
+    rows += [(1000 + i, "clowm of the river", 0) for i in range(2)]  # not frequent
+    labels = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = fit(labels)
+    assert "clown" in model.lexicon and "crown" in model.innocent and "clowm" not in model.innocent
+    features = toxicity.featurer(model.lexicon, model.innocent)
+    assert features("crown")[1] == 0 and features("clowm")[1] == 1 and features("clwon")[1] == 1
+    assert toxicity.featurer({"crow*": 4.0, "clown": 9.0}, model.innocent)("crown")[0][1] == 4.0

@@ -3,6 +3,7 @@
 The lexicon is learned from labelled rows: terms whose presence separates toxic documents. A text's
 words run through the product of the lexicon's trie with the Levenshtein automata of its terms,
 determinised as far as the words seen need it, so a misspelled term costs as much as an exact one.
+Words that clean labelled rows use often are no misspellings, however near to a term.
 Every match is weighed by its context window: inside quotation marks or next to words of reporting
 it counts as quotation, otherwise as abuse. A logistic model turns both sums into a score.
 """
@@ -31,14 +32,18 @@ MIN_ODDS = 3.5
 #: Beginnings of words that may be terms, for languages that inflect; written with STEM at the end.
 STEM_LENGTHS = (4, 5, 6, 7)
 STEM = "*"
-#: Term length from which one edit is forgiven, at least 2 * EDGE; shorter terms must be exact.
-ONE_EDIT = 6
-EDGE = 3
+#: Term lengths from which one and two edits are forgiven; shorter terms must be exact.
+ONE_EDIT = 4
+TWO_EDITS = 8
+#: A word of at least so many clean sampled documents, of lower log-odds, is no misspelling of a term.
+MIN_CLEAN_DOCUMENTS = 3
+VARIANT_ODDS = MIN_ODDS / 2
 #: Words on either side that make up the context of a match.
 WINDOW = 6
 EDIT_PENALTY = 0.5
-#: Entries after which a task starts its table of words anew; bounds memory, not results.
+#: Entries after which a task starts its table of words, or its automaton, anew; bounds memory, not results.
 MEMO = 200_000
+AUTOMATON_ENTRIES = 1_000_000
 WORD = re.compile(r"\w+")
 QUOTES = '"“”„«»‹›'
 #: Words that report what someone else said.
@@ -50,26 +55,29 @@ REPORTING = frozenset(
 
 def edits_for(term: str) -> int:
     """Edits forgiven in a term: by its length, none in a stem, which any ending may follow."""
-    return int(len(term) >= ONE_EDIT and not term.endswith(STEM))
+    return 0 if term.endswith(STEM) else (len(term) >= ONE_EDIT) + (len(term) >= TWO_EDITS)
 
 
 class TermAutomaton:
     """The lexicon's trie against the Levenshtein automata of its terms, determinised lazily.
 
     A nondeterministic state is (trie node, edits so far); a word is accepted with the term whose
-    end it reaches within the edits forgiven for that term. States are added when first met.
+    end it reaches within the edits forgiven for that term. With ``swaps``, two neighbouring
+    letters in each other's place are one edit; a state (node, letter) has read the second of them.
+    States are added when first met.
     """
 
-    def __init__(self, weights: dict[str, float]) -> None:
+    def __init__(self, weights: dict[str, float], swaps: bool = False) -> None:
+        self.swaps = swaps
         self.children: list[dict[str, int]] = [{}]
         self.term: list[tuple[str, float] | None] = [None]
         self.stems: dict[int, int] = {}
-        # one edit leaves the first or the last EDGE characters of a term as they are
-        self.heads = {term.removesuffix(STEM)[:EDGE] for term in weights}
-        self.tails = {term[-EDGE:] for term in weights if edits_for(term)}
         self.reach = [0]  # most edits forgiven by a term below the node
+        self.bodies: dict[int, set[str]] = {}
+        self.probes: dict[int, dict[tuple[int, int], set[str]]] = {}
         for term, weight in weights.items():
             node, allowed = 0, edits_for(term)
+            self._probe(term, allowed)
             self.reach[0] = max(self.reach[0], allowed)
             for char in term.removesuffix(STEM):
                 if char not in self.children[node]:
@@ -86,53 +94,97 @@ class TermAutomaton:
                 self.reach.append(0)
             self.term[node] = (term, weight)
         self.endless = set(self.stems.values())
-        self.sets: list[dict[int, int]] = []
+        self._restart()
+
+    def _probe(self, term: str, edits: int) -> None:
+        """Note what a word must hold, and where, to be within ``edits`` of ``term``.
+
+        A term is cut into edits + 1 pieces with a letter between them, so that an edit, a swap
+        too, spoils one piece at most. A middle piece is needed where both outer ones are spoilt,
+        by one edit each, so it moves by one place at most.
+        """
+        if term.endswith(STEM):
+            self.bodies.setdefault(len(term) - 1, set()).add(term[:-1])
+            return
+        n, size = len(term), (len(term) - edits) // (edits + 1)
+        for length in range(n - edits, n + edits + 1):
+            places = self.probes.setdefault(length, {})
+            places.setdefault((0, size), set()).add(term[:size])
+            if edits:
+                places.setdefault((length - size, length), set()).add(term[n - size :])
+            if edits > 1:
+                for at in range(size, size + 3):
+                    places.setdefault((at, at + size), set()).add(term[size + 1 : 2 * size + 1])
+
+    def _restart(self) -> None:
+        self.entries = 0
+        self.sets: list[dict] = []
         self.number: dict[frozenset, int] = {}
         self.steps: list[dict[str, int]] = []
         self.accepts: list[tuple[str, float, int] | None] = []
         self.dead = self._state({})
         self.start = self._state({0: 0})
 
-    def _state(self, nodes: dict[int, int]) -> int:
-        closed: dict[int, int] = {}
+    def _state(self, nodes: dict) -> int:
+        closed: dict = {}
         queue = list(nodes.items())
         while queue:  # a term's characters that the word leaves out
             node, spent = queue.pop()
-            if spent > self.reach[node] or closed.get(node, 99) <= spent:
+            swapped = isinstance(node, tuple)
+            if spent > self.reach[node[0] if swapped else node] or closed.get(node, 99) <= spent:
                 continue
             closed[node] = spent
+            if swapped:
+                continue
             if not spent and node in self.stems:
                 queue.append((self.stems[node], 0))
             queue += [(child, spent + 1) for child in self.children[node].values()]
         key = frozenset(closed.items())
         if key not in self.number:
             self.number[key] = len(self.sets)
+            self.entries += len(closed) + 1
             self.sets.append(closed)
             self.steps.append({})
             ends = [
-                (*self.term[n], e) for n, e in closed.items() if self.term[n] and e <= edits_for(self.term[n][0])
+                (*self.term[n], e)
+                for n, e in closed.items()
+                if not isinstance(n, tuple) and self.term[n] and e <= edits_for(self.term[n][0])
             ]
             self.accepts.append(max(ends, key=lambda t: (t[1] * EDIT_PENALTY ** t[2], t[0]), default=None))
         return self.number[key]
 
     def _step(self, state: int, char: str) -> int:
-        after: dict[int, int] = {}
+        after: dict = {}
 
-        def put(node: int, spent: int) -> None:
+        def put(node: int | tuple[int, str], spent: int) -> None:
             if spent < after.get(node, 99):
                 after[node] = spent
 
         for node, spent in self.sets[state].items():
+            if isinstance(node, tuple):
+                if node[1] == char:
+                    put(node[0], spent)
+                continue
             put(node, spent + (node not in self.endless))  # a character too many, or of a stem's ending
             for label, child in self.children[node].items():
                 put(child, spent + (label != char))
+                if self.swaps and label != char and char in self.children[child]:
+                    put((self.children[child][char], label), spent + 1)
         self.steps[state][char] = to = self._state(after)
         return to
 
+    def _may_match(self, word: str) -> bool:
+        """False only if no term is near enough to ``word``."""
+        return any(word[a:b] in there for (a, b), there in self.probes.get(len(word), {}).items()) or any(
+            word[:n] in there for n, there in self.bodies.items()
+        )
+
     def find(self, word: str) -> tuple[str, float, int] | None:
         """(term, weight, edits) of the best match of ``word``, or None."""
-        if word[:EDGE] not in self.heads and word[-EDGE:] not in self.tails:
+        if not self._may_match(word):
             return None
+        if self.entries > AUTOMATON_ENTRIES:
+            self._restart()
         state = self.start
         for char in word:
             to = self.steps[state].get(char)
@@ -142,28 +194,36 @@ class TermAutomaton:
         return self.accepts[state]
 
 
+def exact_match(lexicon: dict[str, float], word: str) -> tuple[str, float, int] | None:
+    """(term, weight, 0) of the weightiest term that ``word`` matches without an edit, or None."""
+    terms = {word, *(word[:n] + STEM for n in STEM_LENGTHS if n <= len(word))}
+    return max(((t, lexicon[t], 0) for t in terms if t in lexicon), key=lambda t: (t[1], t[0]), default=None)
+
+
 @dataclass(frozen=True)
 class Model:
-    """Lexicon and logistic weights (bias first)."""
+    """Lexicon, logistic weights (bias first), and words that are no misspellings of its terms."""
 
     lexicon: dict[str, float]
     weights: tuple[float, ...]
+    innocent: frozenset[str] = frozenset()
 
 
 FEATURES = 5
 
 
-def featurer(lexicon: dict[str, float]):
-    """The function from a text to its features: abuse sum, best abuse match, quotation sum, density, length."""
-    automaton = TermAutomaton(lexicon)
+def featurer(lexicon: dict[str, float], innocent: frozenset[str] = frozenset()):
+    """The function from a text to its features: abuse sum, best abuse match, quotation sum, density, length.
+
+    ``innocent`` words match without edits only.
+    """
+    automaton = TermAutomaton(lexicon, swaps=True)
     memo: dict[str, tuple[str, float, int] | None] = {}
 
     def features(text: str | None) -> tuple[list[float], int]:
-        nonlocal memo, automaton
+        nonlocal memo
         if len(memo) > MEMO:
             memo = {}
-        if len(automaton.sets) > MEMO:
-            automaton = TermAutomaton(lexicon)
         lower = (text or "").lower()
         words = WORD.findall(lower)
         matched = {}
@@ -171,7 +231,10 @@ def featurer(lexicon: dict[str, float]):
             if word in memo:
                 match = memo[word]
             else:
-                match = memo[word] = automaton.find(word)
+                match = automaton.find(word)
+                if match and match[2] and word in innocent:
+                    match = exact_match(lexicon, word)
+                memo[word] = match
             if match:
                 matched[word] = match
         abuse, quotation, best, hits = 0.0, 0.0, 0.0, 0
@@ -195,6 +258,15 @@ def featurer(lexicon: dict[str, float]):
     return features
 
 
+def _distinct_words() -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}\p{N}_]+"), F.lit(0)))
+
+
+def _odds(toxic: int, clean: int) -> Column:
+    """Log-odds of a term in ``t`` of the toxic against ``c`` of the clean documents."""
+    return F.log((F.col("t") + 0.5) / (toxic - F.col("t") + 0.5)) - F.log((F.col("c") + 0.5) / (clean - F.col("c") + 0.5))
+
+
 def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     """Terms that separate: log-odds of a term in toxic against other documents, by Spark.
 
@@ -206,8 +278,7 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return {}
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}\p{N}_]+"), F.lit(0)))
-    documents = labelled.select(words.alias("words"), "toxic")
+    documents = labelled.select(_distinct_words().alias("words"), "toxic")
 
     def stem(word: Column, length: int) -> Column:
         return F.when(F.length(word) > length, F.concat(F.substring(word, 1, length), F.lit(STEM)))
@@ -221,7 +292,7 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
         .groupBy("term")
         .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
         .where(F.col("t") >= MIN_TOXIC_DOCUMENTS)
-        .withColumn("odds", F.log((F.col("t") + 0.5) / (toxic - F.col("t") + 0.5)) - F.log((F.col("c") + 0.5) / (clean - F.col("c") + 0.5)))
+        .withColumn("odds", _odds(toxic, clean))
         .withColumn("z", F.col("odds") / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5)))
         .where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS) & (F.length("term") > 1))
     )
@@ -240,6 +311,32 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     return {term: value for term, value in sorted(odds.items()) if not _covered(term, value, odds)}
 
 
+def innocent_words(labelled: DataFrame, lexicon: dict[str, float]) -> frozenset[str]:
+    """Words near a term that are words of their own: MIN_CLEAN_DOCUMENTS clean documents of
+    ``labelled`` (text, toxic) have them, and their log-odds are under VARIANT_ODDS."""
+    totals = {int(t): n for t, n in labelled.groupBy("toxic").count().collect()}
+    if not lexicon:
+        return frozenset()
+
+    def make():
+        automaton = TermAutomaton(lexicon, swaps=True)
+
+        def edits(word: str | None) -> tuple[int]:
+            match = automaton.find(word or "")
+            return (match[2] if match else 0,)
+
+        return edits
+
+    frequent = (
+        labelled.select(F.explode(_distinct_words()).alias("text"), "toxic")
+        .groupBy("text")
+        .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+        .where((F.col("c") >= MIN_CLEAN_DOCUMENTS) & (_odds(totals.get(1, 0), totals.get(0, 0)) < VARIANT_ODDS))
+    )
+    near = append_by_text(frequent, make, [("edits", "bigint")], keep=["text"]).where("edits > 0")
+    return frozenset(r.text for r in near.select("text").collect())
+
+
 def _covered(term: str, value: float, odds: dict[str, float]) -> bool:
     """Whether a shorter stem of the lexicon says as much of the words that ``term`` matches."""
     body = term.removesuffix(STEM)
@@ -267,14 +364,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -
     """
     rows = land(sample(docs, labels, per_label))
     lexicon = learn_lexicon(rows)
-    measured = append_by_text(rows, _feature_maker(lexicon), [("f0", "double"), ("f1", "double"), ("f2", "double"), ("f3", "double"), ("f4", "double")], keep=["toxic"])
+    innocent = innocent_words(rows, lexicon)
+    measured = append_by_text(rows, _feature_maker(lexicon, innocent), [("f0", "double"), ("f1", "double"), ("f2", "double"), ("f3", "double"), ("f4", "double")], keep=["toxic"])
     data = np.array([tuple(r) for r in measured.collect()], dtype=float).reshape(-1, 1 + FEATURES)
-    return Model(lexicon, tuple(_logistic(data[:, 1:], data[:, 0])))
+    return Model(lexicon, tuple(_logistic(data[:, 1:], data[:, 0])), innocent)
 
 
-def _feature_maker(lexicon: dict[str, float]):
+def _feature_maker(lexicon: dict[str, float], innocent: frozenset[str]):
     def make():
-        features = featurer(lexicon)
+        features = featurer(lexicon, innocent)
         return lambda text: tuple(features(text)[0])
 
     return make
@@ -305,7 +403,7 @@ def scorer(model: Model):
     """The per-task factory of the function from a text to (score, n_matches)."""
 
     def make():
-        features = featurer(model.lexicon)
+        features = featurer(model.lexicon, model.innocent)
         weights = np.array(model.weights)
 
         def score(text: str | None) -> tuple[float, int]:
