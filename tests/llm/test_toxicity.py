@@ -151,3 +151,38 @@ def test_frequent_clean_words_are_no_misspellings(spark):
     features = toxicity.featurer(model.lexicon, model.innocent)
     assert features("crown")[1] == 0 and features("clowm")[1] == 1 and features("clwon")[1] == 1
     assert toxicity.featurer({"crow*": 4.0, "clown": 9.0}, model.innocent)("crown")[0][1] == 4.0
+
+
+def test_stray_marks_do_not_quote():
+    features = toxicity.featurer({"worthless": 4.0})
+    filler = "other " * (toxicity.QUOTE_WORDS + 5)
+    for text in (
+        'a 15" screen and you are worthless',
+        'a 15" screen and you are worthless, he likes "this" and "that" here',
+        'she began "well and you are worthless, then "no" and more',
+        '"one paragraph\n"another paragraph\nyou are worthless\n"the last"',
+        'so it ended" and you are worthless "fine"',
+        '“one and you are worthless',
+        '„one and you are worthless »two',
+        '«one and you are worthless“ two',
+        f'"{filler} you are worthless {filler}"',
+        'a "fine" stone before, you are worthless, a "fine" stone after',
+        'a 15 " screen, you are worthless, "this" too',
+    ):
+        plain = features(text)[0]
+        assert plain[0] > 0 and plain[1] == 4.0 and plain[2] == 0, text
+    for text in (
+        'a 15" screen and "a worthless man" here',
+        '"worthless"',
+        'one " worthless man " two',
+        '("so worthless.")',
+        '„worthless“ eins',
+        '»so worthless« eins',
+        '« so worthless » un',
+        '‹worthless›',
+        '”so worthless” en',
+        'the man“worthless”the man',
+        'a “worthless "fine" man” here',
+    ):
+        quoted = features(text)[0]
+        assert quoted[0] == 0 and quoted[2] > 0, text

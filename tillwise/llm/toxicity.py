@@ -4,15 +4,15 @@ The lexicon is learned from labelled rows: terms whose presence separates toxic
 words run through the product of the lexicon's trie with the Levenshtein automata of its terms,
 determinised as far as the words seen need it, so a misspelled term costs as much as an exact one.
 Words that clean labelled rows use often are no misspellings, however near to a term.
-Every match is weighed by its context window: inside quotation marks or next to words of reporting
-it counts as quotation, otherwise as abuse. A logistic model turns both sums into a score.
+Every match is weighed by its context window: inside a pair of quotation marks or next to words of
+reporting it counts as quotation, otherwise as abuse. A logistic model turns both sums into a score.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,7 +45,11 @@ EDIT_PENALTY = 0.5
 MEMO = 200_000
 AUTOMATON_ENTRIES = 1_000_000
 WORD = re.compile(r"\w+")
-QUOTES = '"“”„«»‹›'
+#: Quotation marks and those that close them; a pair is of one kind, on one line, at most so many words apart.
+CLOSED_BY = {'"': '"', "“": "”", "”": "”", "„": "“”", "«": "»", "»": "«", "‹": "›", "›": "‹"}
+KIND = {'"': 0, "“": 1, "”": 1, "„": 1, "«": 2, "»": 2, "‹": 3, "›": 3}
+QUOTE = re.compile(f"[{''.join(CLOSED_BY)}]")
+QUOTE_WORDS = 50
 #: Words that report what someone else said.
 REPORTING = frozenset(
     "said says say quote quoted quotes wrote writes called word term meaning "
@@ -200,6 +204,39 @@ def exact_match(lexicon: dict[str, float], word: str) -> tuple[str, float, int]
     return max(((t, lexicon[t], 0) for t in terms if t in lexicon), key=lambda t: (t[1], t[0]), default=None)
 
 
+def quoted_spans(text: str, starts: list[int]) -> list[tuple[int, int]]:
+    """(start, end) of what stands between paired quotation marks, in order, apart from each other.
+
+    ``starts`` are the places of the words. A mark before a word, after a blank, only opens; one
+    after a word, before a blank, only closes; others do either. The last mark that opened counts.
+    Marks without a partner of their kind on their line, at most QUOTE_WORDS words on, are ignored.
+    """
+    opened: dict[int, int] = {}
+    spans: list[tuple[int, int]] = []
+    for found in QUOTE.finditer(text):
+        at, mark = found.start(), found.group()
+        before, after = text[at - 1 : at], text[at + 1 : at + 2]
+        blank_before = not before or before.isspace() or before in "([{<-–—/'" or before in KIND
+        blank_after = not after or not (after.isalnum() or after in "([{<@#$€'" or after in KIND)
+        closes, opens = blank_after or not blank_before, blank_before or not blank_after
+        start = opened.get(KIND[mark])
+        if closes and start is not None and mark in CLOSED_BY[text[start]]:
+            del opened[KIND[mark]]
+            words = bisect_left(starts, at) - bisect_left(starts, start)
+            if words <= QUOTE_WORDS and "\n" not in text[start:at]:
+                spans.append((start, at))
+                continue
+        if opens:
+            opened[KIND[mark]] = at
+    merged: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = merged[-1][0], max(end, merged[-1][1])
+        else:
+            merged.append((start, end))
+    return merged
+
+
 @dataclass(frozen=True)
 class Model:
     """Lexicon, logistic weights (bias first), and words that are no misspellings of its terms."""
@@ -239,15 +276,17 @@ def featurer(lexicon: dict[str, float], innocent: frozenset[str] = frozenset()):
                 matched[word] = match
         abuse, quotation, best, hits = 0.0, 0.0, 0.0, 0
         if matched:
-            marks = [m.start() for m in re.finditer(f"[{QUOTES}]", lower)]
-            for at, found in enumerate(WORD.finditer(lower)):
-                if found.group() not in matched:
+            starts = [found.start() for found in WORD.finditer(lower)]
+            spans = quoted_spans(lower, starts)
+            for at, word in enumerate(words):
+                if word not in matched:
                     continue
                 hits += 1
-                _, weight, edits = matched[found.group()]
+                _, weight, edits = matched[word]
                 value = weight * EDIT_PENALTY**edits
                 near = words[max(0, at - WINDOW) : at + WINDOW + 1]
-                if bisect_left(marks, found.start()) % 2 or not REPORTING.isdisjoint(near):
+                span = bisect_right(spans, (starts[at],)) - 1
+                if (span >= 0 and starts[at] < spans[span][1]) or not REPORTING.isdisjoint(near):
                     quotation += value
                 else:
                     abuse += value
