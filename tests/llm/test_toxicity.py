@@ -186,3 +186,19 @@ def test_stray_marks_do_not_quote():
     ):
         quoted = features(text)[0]
         assert quoted[0] == 0 and quoted[2] > 0, text
+
+
+def test_inflected_terms_are_found_misspelled(spark):
+    forms = ["stupid", "stupidly", "stupidity", "stupider"]
+    rows = [(i, f"river {forms[i // 4 % 4]} stone" if i % 4 == 0 else "river stone", int(i % 4 == 0)) for i in range(400)]
+    model = fit(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int"))
+    assert any(t.endswith("*") for t in model.lexicon) and set(forms) <= set(model.lexicon)
+    features = toxicity.featurer(model.lexicon, model.innocent)
+    for word in ("stpid", "sutpid", "styupid", "stpidly", "sutpidity", "stupids", "stupid"):
+        values, matches = features(f"river {word} stone")
+        assert matches == 1 and values[0] > 0, word
+
+
+def test_covered_terms():
+    odds = {"stup*": 5.0, "stupi*": 5.5, "stupid": 5.5, "the": 5.0, "the*": 5.0}
+    assert [toxicity._covered(t, v, odds) for t, v in odds.items()] == [False, True, False, False, False]

@@ -377,7 +377,12 @@ def innocent_words(labelled: DataFrame, lexicon: dict[str, float]) -> frozenset[
 
 
 def _covered(term: str, value: float, odds: dict[str, float]) -> bool:
-    """Whether a shorter stem of the lexicon says as much of the words that ``term`` matches."""
+    """Whether a shorter stem of the lexicon says as much of the words that ``term`` matches.
+
+    Stems forgive no edits, so a term that does is never covered: it alone finds its misspellings.
+    """
+    if edits_for(term):
+        return False
     body = term.removesuffix(STEM)
     return any(odds.get(body[:n] + STEM, -math.inf) >= value - 1 for n in STEM_LENGTHS if n < len(body))
 
