@@ -100,3 +100,17 @@ def test_piece_query(spark, sf_dir, documents):
 def test_piece_rows(edge_docs, no_docs):
     assert pieces.encode_documents(edge_docs).count() == edge_docs.count()
     assert pieces.encode_documents(no_docs).count() == 0
+
+
+def test_repeated_rows_count_once(spark, tmp_path):
+    rows = [(1, "repeated\nown")] * 10 + [(None, "nameless")] * 12 + [(100 + i, f"shared\nrow {i}") for i in range(9)] + [(99, "Shared")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    done = QUERIES["op10_lines"](spark, str(tmp_path)).collect()
+    assert len(done) == len(rows)
+    got = {r.doc_id: r.kept_sha256 for r in done}
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = duck.execute(f"SELECT doc_id, n_dropped FROM ({ORACLE['op10_lines']})").fetchall()
+    dropped = {r.doc_id: r.n_dropped for r in done}
+    assert dropped == dict(want) and dropped[1] == 0 and dropped[None] == 0 and dropped[99] == 1
+    assert got[1] == hashlib.sha256(b"repeated\nown").hexdigest()

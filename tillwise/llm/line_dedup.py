@@ -31,10 +31,12 @@ def drop_shared_lines(
     """``docs`` with three more columns: n_lines, n_dropped (bigint) and kept (string).
 
     Lines are split at newline; null and empty texts are one empty line, which has no key and
-    stays. Every row counts as a document. The new columns replace columns of the same ``names``.
+    stays. A document is a doc_id: rows that share one count once, rows without one do not count,
+    though their shared lines go too. The new columns replace columns of the same ``names``.
     Rows, repeated ones too, come back one for one; an empty table gives none.
 
-    Each row contributes a digest once, and counts are summed per task before the shuffle. The
+    Each row contributes a digest once, ids are counted once per digest, and both are reduced per
+    task before their shuffle. The
     dropped positions of a row come from a join of its line digests with the shared ones, salted so
     that a digest carried by a third of all lines is dealt over many tasks, and rows are put
     together by position. Texts are shuffled once.
@@ -42,10 +44,12 @@ def drop_shared_lines(
     row, at = fresh(docs, "_row"), fresh(docs, "_at")
     keyed = docs.withColumn(row, row_key(docs))
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
-    digests = keyed.select(row, F.transform(lines, line_digest).alias("digests"))
+    digests = keyed.select(row, "doc_id", F.transform(lines, line_digest).alias("digests"))
     shared = (
-        digests.select(F.explode(F.array_distinct("digests")).alias("digest"))
+        digests.where("doc_id is not null")
+        .select("doc_id", F.explode(F.array_distinct("digests")).alias("digest"))
         .where("digest is not null")
+        .distinct()
         .groupBy("digest")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") >= min_documents)
