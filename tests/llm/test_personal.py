@@ -2,7 +2,9 @@
 
 import hashlib
 import re
+from collections import Counter
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -103,3 +105,13 @@ def test_defined_results(edge_docs, no_docs):
     model = personal.fit(edge_docs)
     assert personal.find_personal_data(edge_docs, model).count() == edge_docs.count()
     assert personal.find_personal_data(no_docs, personal.fit(no_docs)).count() == 0
+
+
+def test_factors_are_counted_over_all_documents(spark):
+    texts = [f"call +1 (017) 555-77{i % 90 + 10} or a{i}@b.co" if i % 3 else "4111 1111 1111 1111 and 4111111111111112" for i in range(6000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    counts = sum((personal.count_factors(t) for t in texts), Counter())
+    want = personal.model_of([(*k, n) for k, n in counts.items()])
+    got = personal.fit(docs)
+    assert got.unary.keys() == want.unary.keys() and np.array_equal(got.pair, want.pair)
+    assert all(np.array_equal(got.unary[k], v) for k, v in want.unary.items())

@@ -23,8 +23,6 @@ from tillwise.llm.common import append_by_text
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-#: Documents from which the factors are counted, chosen by the hash of their id.
-SAMPLE_DOCUMENTS = 5_000
 SMOOTHING = 0.5
 ROUNDS = 20
 DAMPING = 0.3
@@ -207,11 +205,9 @@ def model_of(counts: Iterable[tuple[str, str, int, int, int]]) -> Model:
     return Model(unary, log_pair)
 
 
-def fit(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Model:
-    """Factors counted over the ``documents`` rows of ``docs`` (doc_id, text) with the smallest hash
-    of their id. Counts are summed in Spark; a few dozen numbers reach the driver."""
-    ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids.distinct()), "doc_id", "left_semi")
+def fit(docs: DataFrame) -> Model:
+    """Factors counted over all rows of ``docs`` (doc_id, text). Counts are summed in Spark; a few
+    dozen numbers reach the driver."""
 
     def make():
         def count(text: str | None) -> tuple[str]:
@@ -221,7 +217,7 @@ def fit(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Model:
 
     parts = F.split("c", ",")
     counted = (
-        append_by_text(sample, make, [("counts", "string")], keep=["doc_id"])
+        append_by_text(docs, make, [("counts", "string")], keep=[])
         .select(F.explode(F.split("counts", ";")).alias("c"))
         .where("c <> ''")
         .select(parts[0].alias("f"), parts[1].alias("o"), parts[2].cast("int").alias("a"), parts[3].cast("int").alias("b"), parts[4].cast("bigint").alias("n"))
