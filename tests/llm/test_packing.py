@@ -1,0 +1,148 @@
+"""Packing: ids against the library, pieces by their definition, sequences without gap or overlap."""
+
+import random
+import zlib
+from collections import Counter, defaultdict
+from functools import lru_cache
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tests.llm.conftest import EDGES
+from tillwise.llm import packing
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+
+
+def test_ids_are_the_librarys_for_every_code_point(library):
+    encode = packing.document_encoder()()
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for start in range(0, len(points), 16):
+        text = "".join(f"a{c}a1{c}1 {c} {c}{c}. {c}b.{c}  {c}" for c in points[start : start + 16])
+        assert encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize(
+    "text",
+    [*[t or "" for t in EDGES], "a<|endoftext|> b", "<|endoftext|", " " * 300_000 + "x", "\n \t" * 9000, "x" * 30_000, "don't 1234's"],
+)
+def test_ids_are_the_librarys_for_odd_texts(library, text):
+    assert packing.document_encoder()()(text) == library.encode(text, add_special_tokens=False).ids
+
+
+@settings(deadline=None)
+@given(st.integers(0, 500), st.integers(1, 120))
+def test_only_the_first_piece_may_be_shorter(n, size):
+    pieces = packing.cut(n, size)
+    assert sum(length for _, length in pieces) == n
+    assert [start for start, _ in pieces] == [sum(x for _, x in pieces[:i]) for i in range(len(pieces))]
+    assert all(length == size for _, length in pieces[1:])
+    assert all(0 < length <= size for _, length in pieces)
+
+
+def fewest(lengths, size):
+    """Exact number of bins, by dynamic programming over subsets."""
+    everything = (1 << len(lengths)) - 1
+
+    @lru_cache(None)
+    def best(left):
+        if not left:
+            return 0
+        first = left & -left
+        rest, low = left ^ first, len(lengths)
+        part = rest
+        while True:
+            if sum(v for i, v in enumerate(lengths) if (part | first) >> i & 1) <= size:
+                low = min(low, 1 + best(rest ^ part))
+            if not part:
+                return low
+            part = (part - 1) & rest
+
+    return best(everything)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 19), max_size=9))
+def test_bins_hold_every_item_once_and_are_near_the_fewest(lengths):
+    bins = packing.pack_group(lengths, 20)
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+    assert all(0 < sum(lengths[i] for i in b) <= 20 for b in bins)
+    assert len(bins) <= len(packing.best_fit(lengths, 20))
+    assert len(bins) <= fewest(lengths, 20) + 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 63), min_size=2, max_size=60))
+def test_every_exchange_raises_the_squared_fills(lengths):
+    search = packing.Exchange(lengths, [[i] for i in range(len(lengths))], 64)  # from the worst start
+    squares = sum(f * f for f in search.fill)
+    for giver in range(len(lengths)):
+        while 0 < search.fill[giver] < 64 and (step := search.best_step(giver)):
+            search.apply(giver, step)
+            now = sum(f * f for f in search.fill)
+            assert now > squares and max(search.fill) <= 64
+            squares = now
+    assert search.fill == [sum(lengths[i] for i in b) for b in search.bins]
+
+
+def test_exchanges_empty_bins_that_best_fit_leaves():
+    pick = random.Random(1)
+    lengths = [pick.randint(200, 700) for _ in range(2000)]
+    before, after = len(packing.best_fit(lengths, 1024)), len(packing.pack_group(lengths, 1024))
+    bound = -(-sum(lengths) // 1024)
+    assert bound <= after < before and after <= 1.01 * bound
+
+
+def check_packed(rows, size):
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        parts.sort()
+        assert [at for at, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) <= size
+    return sequences
+
+
+def test_documents_are_cut_and_packed_whole(spark, edge_docs, edge_rows, library):
+    rows = packing.pack_documents(edge_docs, 64).collect()
+    expected = Counter()
+    for doc_id, text in edge_rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
+        for k, (start, n) in enumerate(packing.cut(len(ids), 64)):
+            expected[doc_id, k, start, n, zlib.crc32(np.array(ids[start : start + n], "<u4").tobytes())] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == expected
+    check_packed(rows, 64)
+
+
+def test_groups_are_joined_by_their_underfull_bins(spark):
+    pick = random.Random(4)
+    lengths = [pick.choice([pick.randint(1, 100), 33, 50]) for _ in range(4000)]
+    frame = spark.createDataFrame([(i, n, "x") for i, n in enumerate(lengths)], "i int, length bigint, offset string")
+    rows = packing.pack_pieces(frame.repartition(4), 100, group=500).collect()
+    assert sorted(r["i"] for r in rows) == list(range(4000))
+    assert Counter(r["length"] for r in rows) == Counter(lengths)
+    sequences = check_packed(rows, 100)
+    assert len(sequences) <= 1.02 * max(-(-sum(lengths) // 100), sum(n > 50 for n in lengths))
+
+
+def test_pieces_that_cannot_share_end_at_once(spark):
+    frame = spark.range(3000).selectExpr("id AS doc_id", "60L AS length")
+    assert len(check_packed([{**r.asDict()} for r in packing.pack_pieces(frame, 100, group=200).collect()], 100)) == 3000
+
+
+def test_empty_and_no_documents(spark, no_docs):
+    assert packing.pack_documents(no_docs).collect() == []
+    docs = spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string")
+    rows = packing.pack_documents(docs).collect()
+    assert sorted((r["doc_id"], r["length"], r["offset"]) for r in rows)[0][:2] == (1, 1)
+    assert len({r["sequence_id"] for r in rows}) == 1
+    ids = packing.token_pieces(docs, with_ids=True).collect()
+    assert all(bytes(r["ids"]) == b"\x02\x00\x00\x00" for r in ids)

@@ -20,6 +20,7 @@ ARROW = {
     "boolean": pa.bool_(),
     "string": pa.string(),
     "binary": pa.binary(),
+    "array<int>": pa.list_(pa.int32()),
 }
 
 
