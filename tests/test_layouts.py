@@ -1,0 +1,226 @@
+"""Clustered writes, incremental snapshots and the minute lookup."""
+
+import random
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+
+from tillwise.operators import dayparts, normalize
+from tillwise.sources.curve import curve_key, quantile_cuts, write_clustered
+from tillwise.sources.incremental import sync_changed
+from tillwise.workload import queries as Q
+
+
+def row_groups(path):
+    """(column -> (min, max, nulls)) of every row group below ``path``."""
+    for file in sorted(Path(path).rglob("*.parquet")):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            found = {}
+            for c in range(group.num_columns):
+                stats = group.column(c).statistics
+                found[group.column(c).path_in_schema] = (stats.min, stats.max) if stats and stats.has_min_max else None
+            yield found
+
+
+def share_read(path, column, value):
+    """Share of the row groups that a reader looking for ``value`` can't skip."""
+    ranges = [g[column] for g in row_groups(path)]
+    return sum(r is not None and r[0] <= value <= r[1] for r in ranges) / len(ranges), len(ranges)
+
+
+# --- clustering along a curve ------------------------------------------------------------
+
+
+def test_a_filter_on_any_cluster_column_alone_skips_row_groups(spark, sf_dir_small, tmp_path):
+    rows = Q._normalized(spark, sf_dir_small)
+    curved, sorted_ = str(tmp_path / "curved"), str(tmp_path / "sorted")
+    normalize.publish_clustered(rows, curved, partition_by=None, row_group_bytes=20_000)
+    plain = rows.repartitionByRange(*normalize.CLUSTERS).sortWithinPartitions(*normalize.CLUSTERS)
+    plain.write.option("parquet.block.size", 20_000).parquet(sorted_)
+    values = {**Q.CLUSTERED_LOOKUPS, "account_id": "57"}
+    shares = {}
+    for column, value in values.items():
+        shares[column], n = share_read(curved, column, value)
+        assert n >= 40
+        assert shares[column] <= 0.65, shares
+    assert shares["account_id"] <= 0.3
+    # a sort by the same columns leaves one of them wide in every row group
+    assert max(share_read(sorted_, column, value)[0] for column, value in values.items()) == 1.0
+
+
+def test_filters_reach_the_clustered_scan(spark, sf_dir, tmp_path):
+    table = normalize.publish_clustered(Q._normalized(spark, sf_dir), str(tmp_path / "t"))
+    plan = table.filter("account_id = '5'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(account_id,5)" in plan
+
+
+def test_cuts_are_equally_deep_and_know_few_values(spark):
+    frame = spark.range(10_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS v", "IF(id < 9000, 'a', 'b') AS s", "CAST(NULL AS STRING) AS n"
+    )
+    cuts = quantile_cuts(frame, ["id", "v", "s", "n"], bits=2)
+    assert [round(c / 2500) for c in cuts["id"]] == [1, 2, 3]
+    assert cuts["s"] == ["a", "b"] or cuts["s"] == ["a"]
+    assert cuts["n"] == []
+    assert all(a < b for a, b in zip(cuts["v"], cuts["v"][1:], strict=False))
+
+
+def test_the_key_interleaves_slice_numbers(spark):
+    cuts = {"a": [1, 2, 3], "b": [1, 2, 3]}
+    rows = spark.createDataFrame([(x, y) for x in range(4) for y in range(4)] + [(None, 3)], "a int, b int")
+    got = {(r["a"], r["b"]): r["k"] for r in rows.withColumn("k", curve_key(cuts, 2)).collect()}
+    for (a, b), key in got.items():
+        a = a or 0
+        assert key == (a >> 1) * 8 + (b >> 1) * 4 + (a & 1) * 2 + (b & 1)
+
+
+def test_odd_inputs_are_written_whole(spark, tmp_path):
+    same = [(1, "x", None)] * 500 + [(None, None, None)] * 3 + [(2, "", 5.0)]
+    frame = spark.createDataFrame(same, "k bigint, s string, `odd name` double")
+    back = write_clustered(frame, str(tmp_path / "a"), ["k", "s"])
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, frame.collect()))
+    assert write_clustered(frame.limit(0), str(tmp_path / "b"), ["k"], "s").collect() == []
+
+
+# --- snapshots of changed dates ----------------------------------------------------------
+
+DAY = datetime(2024, 3, 1)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "id bigint, ts timestamp_ntz, v double, w string").repartition(3)
+
+
+def base_rows():
+    return [(i, DAY + timedelta(hours=i), float(i), None if i % 5 else "w") for i in range(24 * 5)] + [(1000, None, 1.0, "x")]
+
+
+def files(target):
+    return {p.parent.name: {f.name for f in p.parent.glob("*.parquet")} for p in Path(target).rglob("*.parquet")}
+
+
+def same(a, b):
+    return sorted(map(repr, a)) == sorted(map(repr, b))
+
+
+def changes(frame):
+    return {(None if r["ts_date"] is None else r["ts_date"].day, r["gone"]) for r in frame.collect()}
+
+
+def test_unchanged_dates_keep_their_files_and_vanished_ones_go(spark, tmp_path):
+    target, rows = str(tmp_path / "t"), base_rows()
+    snapshot, first = sync_changed(table(spark, rows), target, "ts")
+    assert changes(first) == {(d, False) for d in (1, 2, 3, 4, 5, None)}
+    before = files(target)
+    snapshot, again = sync_changed(table(spark, rows[::-1]), target, "ts")
+    assert changes(again) == set() and files(target) == before
+
+    moved = [r for r in rows if r[1] is None or r[1].day != 4]  # day 4 goes
+    moved = [(i, t, v + (i == 30), w) for i, t, v, w in moved]  # a value of day 2 changes
+    moved += [(7, datetime(2024, 3, 9), 0.0, None), rows[50]]  # a new day, and a repeated row of day 3
+    snapshot, third = sync_changed(table(spark, moved), target, "ts")
+    assert changes(third) == {(2, False), (3, False), (9, False), (4, True)}
+    after = files(target)
+    kept = ["ts_date=2024-03-01", "ts_date=2024-03-05", "ts_date=__HIVE_DEFAULT_PARTITION__"]
+    assert all(after[d] == before[d] for d in kept)
+    assert all(not after[d] & before[d] for d in ("ts_date=2024-03-02", "ts_date=2024-03-03"))
+    assert "ts_date=2024-03-04" not in after
+    assert same([tuple(r)[:4] for r in snapshot.collect()], moved)
+
+
+def test_nulls_that_change_places_are_a_change(spark, tmp_path):
+    target = str(tmp_path / "t")
+    schema = "id bigint, ts timestamp_ntz, v string, w string"
+    for values in ((None, "a"), ("a", None)):
+        frame = spark.createDataFrame([(1, DAY, *values)], schema)
+        snapshot, changed = sync_changed(frame, target, "ts")
+        assert changed.count() == 1
+        assert snapshot.select("v", "w").first() == values
+
+
+def test_an_interrupted_sync_is_repaired(spark, tmp_path):
+    target, rows = str(tmp_path / "t"), base_rows()
+    sync_changed(table(spark, rows), target, "ts")
+    other = [(i, t, v + 1, w) for i, t, v, w in rows]
+
+    class Stop(Exception):
+        pass
+
+    from tillwise.sources import incremental
+
+    real = incremental._partition_folder
+    deleted = [r for r in other if r[1] is None or r[1].day != 5]
+
+    def stop(*_):
+        raise Stop
+
+    incremental._partition_folder = stop
+    try:
+        with pytest.raises(Stop):  # dates are written, the vanished one not deleted, digests not renewed
+            sync_changed(table(spark, deleted), target, "ts")
+    finally:
+        incremental._partition_folder = real
+    # the source is back at its old state: a stale digest would hide that
+    snapshot, changed = sync_changed(table(spark, rows), target, "ts")
+    assert changed.count() >= 5
+    assert same([tuple(r)[:4] for r in snapshot.collect()], rows)
+
+
+def test_an_empty_source_empties_the_snapshot(spark, tmp_path):
+    target = str(tmp_path / "t")
+    frame = table(spark, base_rows())
+    assert sync_changed(frame.limit(0), target, "ts")[0].collect() == []
+    sync_changed(frame, target, "ts")
+    snapshot, changed = sync_changed(frame.limit(0), target, "ts")
+    assert snapshot.collect() == [] and changed.filter("gone").count() == 6
+    assert sync_changed(frame, target, "ts")[0].count() == frame.count()
+
+
+# --- minutes to dayparts -----------------------------------------------------------------
+
+
+def parts_frame(spark, rows):
+    return spark.createDataFrame(
+        rows,
+        "store_id string, start_minute_of_day bigint, duration_minute_total bigint, daypart_name string, daypart_order bigint",
+    )
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_equals_the_range_join(spark, how):
+    pick = random.Random(11)
+    rows = [
+        (f"S{s}", pick.randrange(1440), pick.choice([0, 30, 300, 900, 1440, 1500, 2900]), f"p{k}", pick.choice([1, 2, None]))
+        for s in range(12) for k in range(pick.randrange(1, 6))
+    ]
+    rows += [("S0", None, 60, "unreadable", 9), ("S1", 5, None, "unreadable", 9), (None, 0, 1440, "no store", 1), rows[0], rows[0]]
+    parts = parts_frame(spark, rows)
+    tx = spark.createDataFrame(
+        [(i, f"S{i % 14}", pick.randrange(1440), "own") for i in range(3000)] + [(-1, None, 5, "own"), (-2, "S3", None, "own")],
+        "id int, store_id string, tx_minute_of_day int, choices string",
+    )
+    columns = ["id", "store_id", "tx_minute_of_day", "choices", *dayparts.DAYPART_FIELDS]
+    expected = dayparts.assign_daypart(tx, parts, how=how).select(*columns)
+    got = dayparts.assign_daypart_by_minute(tx, dayparts.minute_lookup(parts), how=how).select(*columns)
+    assert same(got.collect(), expected.collect())
+
+
+def test_lookup_is_one_row_of_bounded_size_per_store(spark):
+    parts = parts_frame(spark, [("S", m, 600, f"p{m}", m) for m in range(0, 1440, 30)])
+    row = dayparts.minute_lookup(parts).first()
+    assert len(row["choice"]) == 1440 and len(row["choices"]) <= 2 * 48 + 1
+    assert dayparts.minute_lookup(parts.limit(0)).collect() == []
+
+
+def test_lookup_join_has_no_condition_beside_the_store(spark, sf_dir):
+    plan = Q.QUERIES["minute_daypart_left"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "_owner" in line]
+    assert joins and all("BroadcastHashJoin [store_id" in line for line in joins)
+    assert not any(">=" in line or "start_minute" in line for line in joins)
+    assert "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
+
+

@@ -85,6 +85,55 @@ def assign_daypart(
     return tx.join(parts, (tx[owner] == parts["_owner"]) & inside, how).drop("_owner")
 
 
+DAYPART_FIELDS = ("start_minute_of_day", "duration_minute_total", "daypart_name", "daypart_order")
+
+
+def minute_lookup(dayparts: DataFrame, owner: str = "store_id") -> DataFrame:
+    """(owner, choices, choice): which dayparts cover each minute of the day, one row per store.
+
+    ``choices`` lists the distinct sets of dayparts that cover some minute, in the order of the
+    dayparts; ``choice`` has the number of a set for each of the 1,440 minutes. A store is a few
+    kilobytes, however long its dayparts are and however much they overlap. A daypart without
+    a readable start or duration covers no minute; a repeated one is a member twice.
+    """
+    part = F.struct("daypart_order", *[name for name in DAYPART_FIELDS if name != "daypart_order"])
+    stores = dayparts.filter(F.col(owner).isNotNull()).groupBy(owner).agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    numbers = F.sequence(F.lit(0), F.size("parts") - 1)
+
+    def covering(minute: Column) -> Column:
+        def covers(i: Column) -> Column:
+            own = F.get(F.col("parts"), i)
+            inside = in_daypart(minute.cast("bigint"), own["start_minute_of_day"], own["duration_minute_total"])
+            return F.coalesce(inside, F.lit(False))
+
+        return F.filter(numbers, covers)
+
+    minutes = F.transform(F.sequence(F.lit(0), F.lit(MINUTES_PER_DAY - 1)), covering)
+    sets = stores.withColumn("sets", minutes).withColumn("distinct_sets", F.array_distinct("sets"))
+    return sets.select(
+        owner,
+        F.transform("distinct_sets", lambda s: F.transform(s, lambda i: F.get(F.col("parts"), i))).alias("choices"),
+        F.transform("sets", lambda s: F.array_position(F.col("distinct_sets"), s).cast("int") - 1).alias("choice"),
+    )
+
+
+def assign_daypart_by_minute(
+    tx: DataFrame, lookup: DataFrame, owner: str = "store_id", how: str = "inner"
+) -> DataFrame:
+    """What ``assign_daypart`` gives, from a ``minute_lookup``: an equi-join on the store and two array look-ups.
+
+    No condition is tested per daypart, and the store's side has one row per store, so the join may be
+    of any kind. Rows without a store or a minute, or at a minute no daypart covers, are dropped by
+    ``how="inner"`` and kept by ``"left"``.
+    """
+    table = lookup.select(F.col(owner).alias("_owner"), "choices", "choice")
+    chosen = F.get(table["choices"], F.get(table["choice"], tx["tx_minute_of_day"].cast("int")))
+    explode = F.explode_outer if how == "left" else F.explode
+    own = [tx[c] for c in tx.columns]
+    rows = tx.join(table, tx[owner] == table["_owner"], how).select(*own, explode(chosen).alias("_part"))
+    return rows.select(*tx.columns, *[F.col("_part")[name].alias(name) for name in DAYPART_FIELDS])
+
+
 def daypart_business_date(tx: DataFrame, date_column: str = "business_date") -> DataFrame:
     """Business date and its labels.
 

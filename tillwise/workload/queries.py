@@ -25,6 +25,7 @@ from tillwise.operators import (
 )
 from tillwise.params import SALES_CHANNELS, CohortRules, Period, ReturnRateParams, StoreWindow
 from tillwise.plans import customer_reports, yoy_reports
+from tillwise.sources.incremental import sync_changed
 from tillwise.sources.tables import materialize, publish_report, scratch_root, snapshot_table, sync_tables
 from tillwise.workload import views
 
@@ -42,6 +43,10 @@ DIMENSIONS = {
 COMPARED = Period(date(1996, 1, 1), SALES.end)
 CLOSURES = (Period(date(1997, 6, 9), date(1997, 6, 19)), Period(date(1999, 10, 4), date(1999, 10, 4)))
 PIVOT_GROUPS = {"ALL": "brand", "G0": "even", "G1": "odd"}
+REVISED_DAY, MOVED_DAY = date(2024, 1, 10), date(2024, 1, 20)
+CLUSTERED_LOOKUPS = {
+    "store_id": "S2", "account_id": "7", "channel_group": "Online", "customer_type": "New",
+}
 TARGETS = (("Brand#1", "ECONOMY"), ("Brand#1", "LARGE"), ("Brand#2", "PROMO"), ("Brand#3", "SMALL"))
 OLD_CODES = ("Brand#1", "Brand#2", "Brand#3", "Brand#4")
 NEW_CODES = ("Brand#5", "Brand#6")
@@ -107,6 +112,34 @@ def snapshot_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
 
 
+def _earlier_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as they might have stood at an earlier sync: one day's values differ, one day was
+    recorded a year early."""
+    events, day = views.read(spark, sf_dir, "events"), F.to_date("ts")
+    return events.withColumns(
+        {
+            "value": F.when(day == F.lit(REVISED_DAY), F.col("value") + 1).otherwise(F.col("value")),
+            "ts": F.when(day == F.lit(MOVED_DAY), F.col("ts") - F.expr("INTERVAL 366 DAYS")).otherwise(F.col("ts")),
+        }
+    )
+
+
+def _resynced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    target = _target(spark)
+    sync_changed(_earlier_events(spark, sf_dir), target, "ts", ("event_type", "user_id"))
+    return sync_changed(views.read(spark, sf_dir, "events"), target, "ts", ("event_type", "user_id"))
+
+
+def snapshot_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot after a second sync that rewrote the changed dates only."""
+    return _resynced(spark, sf_dir)[0]
+
+
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dates that the second sync rewrote or deleted."""
+    return _resynced(spark, sf_dir)[1]
+
+
 def _attached(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stores.attach_store(
         views.event_authorizations(spark, sf_dir), views.merchant_map(spark), views.stores(spark)
@@ -177,6 +210,20 @@ def assign_daypart_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_dayparts(spark, sf_dir, "left").select(*_DAYPART_COLUMNS)
 
 
+def _with_minutes(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    rows = stores.local_time_columns(_attached(spark, sf_dir))
+    lookup = dayparts.minute_lookup(dayparts.parse_dayparts(views.stores(spark), "storeId"))
+    return dayparts.assign_daypart_by_minute(rows, lookup, how=how)
+
+
+def minute_daypart_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_minutes(spark, sf_dir, "inner").select(*_DAYPART_COLUMNS)
+
+
+def minute_daypart_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_minutes(spark, sf_dir, "left").select(*_DAYPART_COLUMNS)
+
+
 def daypart_business_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dayparts.daypart_business_date(_with_dayparts(spark, sf_dir, "left"))
     return rows.select(
@@ -212,6 +259,23 @@ def publish_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(normalize.publish_normalized(_normalized(spark, sf_dir), _target(spark)))
 
 
+def publish_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(normalize.publish_clustered(_normalized(spark, sf_dir), _target(spark)))
+
+
+def clustered_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions and sales of one value of each cluster column, read from the clustered table."""
+    published = normalize.publish_clustered(_normalized(spark, sf_dir), _target(spark), partition_by=None)
+    parts = [
+        published.filter(F.col(column) == value).agg(
+            F.lit(column).alias("cluster_column"), F.count("*").alias("row_count"),
+            sum_dollars(F.col("sale_in_dollar")).alias("total_sale"),
+        )
+        for column, value in CLUSTERED_LOOKUPS.items()
+    ]
+    return _plain(reduce(DataFrame.unionByName, parts))
+
+
 def normalize_transactions_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = normalize.normalize_transactions(
         views.event_authorizations(spark, sf_dir), views.merchant_map(spark), views.stores(spark),
@@ -515,6 +579,8 @@ def visit_return_rate_weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "snapshot_roundtrip": snapshot_roundtrip,
     "snapshot_dimensions": snapshot_dimensions,
+    "snapshot_incremental": snapshot_incremental,
+    "snapshot_changes": snapshot_changes,
     "attach_store": attach_store,
     "valid_sales": valid_sales,
     "valid_sales_channel": valid_sales_channel,
@@ -525,11 +591,15 @@ QUERIES: dict[str, Query] = {
     "daypart_names": daypart_names,
     "assign_daypart_inner": assign_daypart_inner,
     "assign_daypart_left": assign_daypart_left,
+    "minute_daypart_inner": minute_daypart_inner,
+    "minute_daypart_left": minute_daypart_left,
     "daypart_business_date": daypart_business_date,
     "customer_type": customer_type,
     "money_double": money_double,
     "normalize_transactions": normalize_transactions,
     "publish_normalized": publish_normalized,
+    "publish_clustered": publish_clustered,
+    "clustered_lookups": clustered_lookups,
     "normalize_landed": normalize_landed,
     "normalize_transactions_grouped": normalize_transactions_grouped,
     "based_transactions": based_transactions,
