@@ -1,0 +1,188 @@
+"""Facts in buckets, and bitmaps of customers."""
+
+import random
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillwise.functions import items as I
+from tillwise.operators import colocated, customers, distinct, visits
+from tillwise.operators.stores import attach_windows
+from tillwise.params import StoreWindow
+from tillwise.sources.buckets import bucket_fact, open_fact
+from tillwise.workload import queries as Q
+
+START = datetime(2024, 1, 1)
+
+
+def visit_rows(hot=0):
+    pick = random.Random(2)
+    rows = [(str(pick.randrange(40)), f"S{pick.randrange(3)}") for _ in range(600)]
+    rows += [("shared", "S1")] * hot + [(None, "S0")] * hot + [("1", None)] * 20
+    pick.shuffle(rows)
+    return [(i, a, s, START + timedelta(minutes=pick.randrange(500))) for i, (a, s) in enumerate(rows)]
+
+
+def visit_frame(spark, hot=0):
+    schema = "transaction_composite_key bigint, account_id string, store_id string, local_time timestamp_ntz"
+    return spark.createDataFrame(visit_rows(hot), schema).repartition(5)
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def same(a, b):
+    return sorted(map(repr, a)) == sorted(map(repr, b))
+
+
+@pytest.mark.parametrize("hot", [0, 400])
+def test_parts_are_disjoint_and_whole(spark, tmp_path, hot):
+    frame = visit_frame(spark, hot)
+    fact = bucket_fact(frame, str(tmp_path), 4, sort_by=("local_time",))
+    assert same(fact.light.unionByName(fact.heavy).collect(), frame.collect())
+    heavy = {(r["account_id"], r["store_id"]) for r in fact.heavy.collect()}
+    assert heavy == ({("shared", "S1"), (None, "S0")} if hot else set())
+    again = open_fact(spark, str(tmp_path), 4, sort_by=("local_time",))
+    assert same(again.light.collect(), fact.light.collect()) and same(again.heavy.collect(), fact.heavy.collect())
+    assert "Exchange" not in plan(again.light.groupBy("account_id", "store_id").count())
+
+
+@pytest.mark.parametrize("hot", [0, 400])
+def test_visit_rank_equals_the_ranged_one(spark, tmp_path, hot):
+    frame = visit_frame(spark, hot)
+    fact = bucket_fact(frame, str(tmp_path), 4)
+    known = frame.filter("account_id IS NOT NULL AND store_id IS NOT NULL")
+    got = colocated.visit_rank(fact)
+    assert same(got.select(*frame.columns, "visit_number").collect(), visits.visit_rank(known).select(*frame.columns, "visit_number").collect())
+
+
+def test_the_bucketed_part_is_not_shuffled(spark, tmp_path):
+    fact = bucket_fact(visit_frame(spark), str(tmp_path), 4)
+    ranked = plan(colocated.visit_rank(fact)).split("Union")[-1]
+    light = ranked.split("FileScan")[1]
+    assert "Bucketed: true" in light and "SelectedBucketsCount: 4 out of 4" in light
+    assert "Exchange" not in ranked.split("FileScan")[0]
+
+
+def checks(spark, sf_dir):
+    return Q.materialize(Q._brand_checks(spark, sf_dir, group_id="ALL"))
+
+
+def test_customer_questions_leave_the_fact_in_its_buckets(spark, sf_dir, tmp_path):
+    rows = checks(spark, sf_dir)
+    fact = bucket_fact(rows, str(tmp_path), 4)
+    test = I.matches_code_and_name(Q.TARGETS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as with a list of buyers beyond any broadcast
+    try:
+        light = customers.buyers(fact.light, test)
+        for frame in (
+            customers.rollcall_weeks(attach_windows(fact.light, Q.WINDOWS), light),
+            customers.history_of(fact.light.withColumns({"customer_type": F.lit("New"), "store_name": F.lit("x")}), light, test),
+        ):
+            moved = [line for line in plan(frame).splitlines() if "Exchange hashpartitioning(account_id" in line]
+            assert not moved, moved
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rollcall_with_a_heavy_customer(spark, sf_dir, tmp_path):
+    rows = checks(spark, sf_dir)
+    one = rows.withColumns(
+        {"account_id": F.when(F.col("o_orderkey") % 3 > 0, F.lit("shared")).otherwise(F.col("account_id")),
+         "store_id": F.when(F.col("o_orderkey") % 3 > 0, F.lit("S1")).otherwise(F.col("store_id"))}
+    )
+    one = Q.materialize(one)
+    fact = bucket_fact(one, str(tmp_path), 4)
+    assert fact.heavy.count() > one.count() / 3
+    test = I.matches_code_and_name(Q.TARGETS)
+    expected = customers.prior_buyer_rollcall(attach_windows(one, Q.WINDOWS), test).collect()
+    assert expected and same(colocated.prior_buyer_rollcall(fact, test, Q.WINDOWS).collect(), expected)
+
+
+def test_empty_fact(spark, tmp_path):
+    fact = bucket_fact(visit_frame(spark).limit(0), str(tmp_path), 4)
+    assert colocated.visit_rank(fact).collect() == []
+    windows = [StoreWindow("S1", "n", date(2024, 1, 1))]
+    assert attach_windows(fact.light, windows).collect() == []
+
+
+# --- bitmaps -----------------------------------------------------------------------------
+
+
+def sale_rows():
+    pick = random.Random(8)
+    day = date(2024, 1, 1)
+    return [
+        (pick.choice([None, *(f"c{pick.randrange(300)}" for _ in range(6))]), f"S{pick.randrange(4)}", day + timedelta(days=pick.randrange(20)))
+        for _ in range(3000)
+    ]
+
+
+def sale_frame(spark, rows):
+    return spark.createDataFrame(rows, "account_id string, store_id string, business_day date").repartition(4)
+
+
+def plain(rows, *at):
+    groups = {}
+    for r in rows:
+        if r[0] is not None:
+            groups.setdefault(tuple(r[i] for i in at), set()).add(r[0])
+    return {k: len(v) for k, v in groups.items()}
+
+
+def test_numbers_are_dense_and_keep(spark):
+    rows = sale_rows()
+    first = distinct.number_customers(sale_frame(spark, rows[:200]))
+    numbers = {r["account_id"]: r["customer_no"] for r in first.collect()}
+    assert sorted(numbers.values()) == list(range(1, len(numbers) + 1)) and None not in numbers
+    both = distinct.number_customers(sale_frame(spark, rows), Q.materialize(first)).collect()
+    more = {r["account_id"]: r["customer_no"] for r in both}
+    assert len(both) == len(more) and sorted(more.values()) == list(range(1, len(more) + 1))
+    assert all(more[a] == n for a, n in numbers.items())
+
+
+def test_any_grouping_is_counted_from_the_bitmaps(spark):
+    rows = sale_rows()
+    frame = sale_frame(spark, rows)
+    bitmaps = Q.materialize(distinct.customer_bitmaps(frame, Q.materialize(distinct.number_customers(frame))))
+    for by, at in ((["store_id"], [1]), (["business_day"], [2]), (["store_id", "business_day"], [1, 2])):
+        got = {tuple(r[c] for c in by): r["customers"] for r in distinct.distinct_customers(bitmaps, by).collect()}
+        assert got == plain(rows, *at)
+    assert distinct.distinct_customers(bitmaps, []).first()[0] == len({r[0] for r in rows} - {None})
+    weekly = bitmaps.withColumn("week", F.weekofyear("business_day"))
+    stored = distinct.combine_bitmaps(weekly, ["store_id", "week"])
+    again = {r["store_id"]: r["customers"] for r in distinct.distinct_customers(stored, ["store_id"]).collect()}
+    assert again == {k[0]: v for k, v in plain(rows, 1).items()}
+
+
+def test_a_new_day_and_late_rows_add_their_bitmaps_only(spark):
+    rows = sale_rows()
+    old = [r for r in rows if r[2].day < 15 and not (r[2].day == 3 and r[1] == "S2")]
+    frame = sale_frame(spark, old)
+    numbers = Q.materialize(distinct.number_customers(frame))
+    stored = Q.materialize(distinct.customer_bitmaps(frame, numbers))
+    fresh = sale_frame(spark, [r for r in rows if r[2].day >= 15 or r[2].day == 3])
+    numbers = Q.materialize(distinct.number_customers(fresh, numbers))
+    merged = distinct.replace_days(stored, distinct.customer_bitmaps(fresh, numbers))
+    got = {r["store_id"]: r["customers"] for r in distinct.distinct_customers(merged, ["store_id"]).collect()}
+    assert got == {k[0]: v for k, v in plain(rows, 1).items()}
+
+
+def test_more_customers_than_one_bitmap(spark):
+    frame = spark.range(70_000).selectExpr("CAST(id AS STRING) AS account_id", "IF(id % 2 = 0, 'A', 'B') AS store_id", "DATE'2024-01-01' AS business_day")
+    bitmaps = distinct.customer_bitmaps(frame, distinct.number_customers(frame))
+    assert {r["store_id"]: r["customers"] for r in distinct.distinct_customers(bitmaps, ["store_id"]).collect()} == {"A": 35_000, "B": 35_000}
+    # numbered store by store: two stores of 35,000 take two bitmaps each, not three
+    assert bitmaps.count() <= 4
+
+
+def test_no_customers(spark):
+    frame = sale_frame(spark, [(None, "S0", date(2024, 1, 1))])
+    bitmaps = distinct.customer_bitmaps(frame, distinct.number_customers(frame))
+    assert bitmaps.collect() == [] and distinct.distinct_customers(bitmaps, []).first()[0] == 0
+
+
+def test_counts_do_not_read_the_fact(spark, sf_dir):
+    assert "orders.parquet" not in plan(Q.bitmap_customers(spark, sf_dir))

@@ -25,26 +25,42 @@ def prior_buyer_rollcall(tx: DataFrame, test: I.ItemTest) -> DataFrame:
     Rows carry ``launch_date``. A buyer at a store is followed at that store, before and after
     its launch, in Monday-to-Sunday weeks.
     """
-    before_launch = F.col("business_date") < F.col("launch_date")
-    buyers = materialize(
-        flag_target(tx.filter(before_launch), test)
-        .filter("has_target")
-        .select("account_id", "store_id")
-        .distinct()
-    )
+    return rollcall_report(rollcall_weeks(tx, materialize(prior_buyers(tx, test))))
+
+
+def prior_buyers(tx: DataFrame, test: I.ItemTest) -> DataFrame:
+    """Customers and stores with a target item on a check before the store's launch."""
+    return buyers(tx.filter(F.col("business_date") < F.col("launch_date")), test)
+
+
+def buyers(tx: DataFrame, test: I.ItemTest) -> DataFrame:
+    """Customers and stores with a target item on a check."""
+    return flag_target(tx, test).filter("has_target").select("account_id", "store_id").distinct()
+
+
+def rollcall_weeks(tx: DataFrame, known: DataFrame) -> DataFrame:
+    """Customers, checks and cents of ``known`` buyers per week."""
     # A check belongs to one customer (its key covers the account), so checks are summed before
     # customers and both distinct counts become plain counts.
     visit = ["week_start_date", "store_id", "account_id"]
     return (
-        tx.join(buyers, ["account_id", "store_id"], "left_semi")
+        tx.join(known, ["account_id", "store_id"], "left_semi")
         .withColumn("week_start_date", week_start(F.col("business_date")))
         .groupBy(*visit, "check_hash")
         .agg(F.sum(cents(F.col("sale_in_dollar"))).alias("_cents"))
         .groupBy(*visit)
         .agg(F.count("check_hash").alias("_checks"), F.sum("_cents").alias("_cents"))
         .groupBy("week_start_date")
+        .agg(F.count("*").alias("_buyers"), F.sum("_checks").alias("_checks"), F.sum("_cents").alias("_cents"))
+    )
+
+
+def rollcall_report(weeks: DataFrame) -> DataFrame:
+    """Weekly sums of disjoint sets of customers, added up."""
+    return (
+        weeks.groupBy("week_start_date")
         .agg(
-            F.count("*").alias("prior_buyer_count"),
+            F.sum("_buyers").alias("prior_buyer_count"),
             F.sum("_checks").alias("total_check_count"),
             dollars(F.sum("_cents")).alias("total_sale"),
         )
@@ -144,10 +160,14 @@ def target_customer_history(
     The flag and the texts come from the row's own document, so the only join is the one that
     finds the customers.
     """
-    buyers = materialize(
-        flag_target(tx, test).filter("has_target").select("account_id", "store_id").distinct()
-    )
-    history = tx.join(buyers, ["account_id", "store_id"], "left_semi").withColumn("_items", I.line_items())
+    return history_of(tx, materialize(buyers(tx, test)), test, with_target_details, display_names)
+
+
+def history_of(
+    tx: DataFrame, known: DataFrame, test: I.ItemTest, with_target_details: bool = False, display_names: bool = False
+) -> DataFrame:
+    """Every check of the ``known`` customers at the stores they are known for."""
+    history = tx.join(known, ["account_id", "store_id"], "left_semi").withColumn("_items", I.line_items())
     columns = [
         "store_name", "account_id", "customer_type", "check_hash", "timestamp", "local_time",
         "sale_in_dollar",

@@ -16,8 +16,10 @@ from tillwise.operators import (
     baskets,
     changes,
     cohort,
+    colocated,
     customers,
     dayparts,
+    distinct,
     normalize,
     stores,
     visits,
@@ -25,6 +27,7 @@ from tillwise.operators import (
 )
 from tillwise.params import SALES_CHANNELS, CohortRules, Period, ReturnRateParams, StoreWindow
 from tillwise.plans import customer_reports, yoy_reports
+from tillwise.sources.buckets import ColocatedFact, bucket_fact
 from tillwise.sources.incremental import sync_changed
 from tillwise.sources.tables import materialize, publish_report, scratch_root, snapshot_table, sync_tables
 from tillwise.workload import views
@@ -43,6 +46,7 @@ DIMENSIONS = {
 COMPARED = Period(date(1996, 1, 1), SALES.end)
 CLOSURES = (Period(date(1997, 6, 9), date(1997, 6, 19)), Period(date(1999, 10, 4), date(1999, 10, 4)))
 PIVOT_GROUPS = {"ALL": "brand", "G0": "even", "G1": "odd"}
+BUCKETS = 8
 REVISED_DAY, MOVED_DAY = date(2024, 1, 10), date(2024, 1, 20)
 CLUSTERED_LOOKUPS = {
     "store_id": "S2", "account_id": "7", "channel_group": "Online", "customer_type": "New",
@@ -413,6 +417,20 @@ def annual_cohort_yoy_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bitmap_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers by year, by store group, by weekday and by all three, from stored bitmaps."""
+    sales = views.sales(spark, sf_dir)
+    numbers = materialize(distinct.number_customers(sales))
+    bitmaps = publish_report(distinct.customer_bitmaps(sales, numbers), _target(spark), cluster_by=("store_id", "business_day"))
+    members = views.group_map(spark).select(F.col("storeId").alias("store_id"), F.col("storeGroupId").alias("store_group_id"))
+    days = bitmaps.join(members, "store_id").withColumns(
+        {"year": F.year("business_day"), "weekday": F.weekday("business_day")}
+    )
+    names = ("store_group_id", "year", "weekday")
+    counts = [distinct.distinct_customers(days, by) for by in (("store_group_id",), ("year",), ("weekday",), names)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts).select(*names, "customers")
+
+
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return yoy_reports.trial_store_yoy(
         views.order_authorizations(spark, sf_dir, None), views.merchant_map(spark), WINDOWS, COMPARED, ZONE
@@ -551,6 +569,30 @@ def target_customer_history_display(spark: SparkSession, sf_dir: str) -> DataFra
     )
 
 
+def _colocated_checks(spark: SparkSession, sf_dir: str, group_id: str | None) -> ColocatedFact:
+    checks = materialize(_brand_checks(spark, sf_dir, group_id=group_id))
+    return bucket_fact(checks, _target(spark), BUCKETS)
+
+
+def colocated_rollcall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = _colocated_checks(spark, sf_dir, "ALL")
+    return _plain(colocated.prior_buyer_rollcall(fact, I.matches_code_and_name(TARGETS), WINDOWS))
+
+
+def colocated_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = _colocated_checks(spark, sf_dir, None)
+    light, heavy = (
+        x.withColumn("customer_type", labels.customer_type(F.col("isNewAtStore"))) for x in (fact.light, fact.heavy)
+    )
+    fact = ColocatedFact(light, heavy, fact.keys, fact.buckets)
+    return _plain(colocated.target_customer_history(fact, I.matches_code_and_name(TARGETS), WINDOWS))
+
+
+def colocated_visit_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = bucket_fact(views.event_visits(spark, sf_dir), _target(spark), BUCKETS, sort_by=("local_time",))
+    return colocated.visit_rank(fact)
+
+
 def target_item_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _brand_checks(spark, sf_dir, WINDOWS)
     details = customers.target_item_details(rows, I.matches_code_and_name(TARGETS))
@@ -620,6 +662,7 @@ QUERIES: dict[str, Query] = {
     "cohort_prior_totals": _totals("prior"),
     "annual_cohort_yoy": annual_cohort_yoy,
     "annual_cohort_yoy_pivot": annual_cohort_yoy_pivot,
+    "bitmap_customers": bitmap_customers,
     "period_over_period": period_over_period,
     "publish_trial_yoy": publish_trial_yoy,
     "yoy_rollup_date": _readout("sale_by_date"),
@@ -650,6 +693,9 @@ QUERIES: dict[str, Query] = {
     "composition_top10": _adoption("top_compositions"),
     "target_customer_history": target_customer_history,
     "target_customer_history_display": target_customer_history_display,
+    "colocated_rollcall": colocated_rollcall,
+    "colocated_history": colocated_history,
+    "colocated_visit_rank": colocated_visit_rank,
     "target_item_details": target_item_details,
     "visit_rank": visit_rank,
     "visit_return_rate": visit_return_rate,
