@@ -158,7 +158,7 @@ def move(whole: DataFrame, centroids: list[list[int]], dimensions: int = DIMENSI
     partial = whole.mapInArrow(run, "cluster int, dimension int, total decimal(38,0), n bigint")
     sums = partial.groupBy("cluster", "dimension").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     moved = [list(c) for c in centroids]
-    for r in sums.toLocalIterator():  # clusters * dimensions rows
+    for r in sums.collect():  # clusters * dimensions rows
         moved[r["cluster"]][r["dimension"]] = int(r["total"]) // r["n"]
     return moved
 
@@ -196,7 +196,7 @@ def with_totals(assigned: DataFrame, centroids: Sequence[Vector]) -> DataFrame:
     assigned = land(assigned)
     exact = F.sum(F.col("distance").cast("decimal(38,0)"))
     sums = assigned.groupBy("cluster").agg(exact.alias("own"), F.count_if(F.col("distance").isNull()).alias("lost"))
-    totals = {r["cluster"]: None if r["lost"] else int(r["own"]) for r in sums.toLocalIterator()}  # a row a cluster
+    totals = {r["cluster"]: None if r["lost"] else int(r["own"]) for r in sums.collect()}  # a row a cluster
     everything = None if None in totals.values() else sum(totals.values())
     fits = lambda n: n if n is not None and n < 1 << 63 else None
     rows = [
