@@ -142,13 +142,13 @@ def resample(
     and an empty ``target`` (text) counts 0 in every bucket.
 
     Texts are scanned once; their bucket counts, a few bytes for each distinct bucket of a text, are
-    landed and read by both the totals and the weights. Only the totals, one number a bucket, reach
+    landed and read by both the totals and the weights. Only the totals, one number for each bucket, reach
     the driver. Ranks come from rows dealt by range of the score and numbered within their range, so
     no task sees more than a range, however many rows share a score.
     """
     counted = land(count_grams(docs, grams, buckets))
     aimed = count_grams(target.select(F.lit(0).cast("bigint").alias("doc_id"), "text"), grams, buckets)
-    source, wanted = ({r["bucket"]: r["n"] for r in bucket_totals(x).toLocalIterator()} for x in (counted, aimed))
+    source, wanted = ({r["bucket"]: r["n"] for r in bucket_totals(x).collect()} for x in (counted, aimed))
     scored = weigh(counted, bucket_gains(source, wanted, buckets), seed)
     return ranked(scored, F.col("n_words") >= min_words, percent).select(
         "doc_id", "n_features", "weight", "score", "rank"
