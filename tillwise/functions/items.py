@@ -47,6 +47,31 @@ def line_items(check: str = "check") -> Column:
     )
 
 
+def parsed_line_items(check: str = "check") -> Column:
+    """What ``line_items`` gives, from a document that was parsed to VARIANT when it was landed.
+
+    Fields are extracted from the parsed form; no text is parsed. Numbers in place of texts come in
+    their shortest form (1.50 as 1.5).
+    """
+
+    def scalar(path: str) -> str:
+        text = f"try_variant_get(i, '$.{path}', 'string')"
+        nested = f"schema_of_variant(try_variant_get(i, '$.{path}', 'variant'))"
+        return f"if({nested} LIKE 'OBJECT%' OR {nested} LIKE 'ARRAY%', NULL, {text})"
+
+    return F.expr(
+        f"""
+        transform(try_variant_get(`{check}`, '$.ls', 'array<variant>'), i -> named_struct(
+            'code', {scalar('p')},
+            'name', {scalar('n')},
+            'quantity', try_cast({scalar('q')} AS DOUBLE),
+            'whole_quantity', try_cast({scalar('q')} AS BIGINT),
+            'price', try_cast({scalar('pr')} AS DECIMAL(38,9))
+        ))
+        """
+    )
+
+
 def matches_code_and_name(targets: Iterable[tuple[str, str]]) -> ItemTest:
     """Item with a listed (code, name) pair and a positive quantity."""
     pairs = [F.struct(F.lit(code).alias("code"), F.lit(name).alias("name")) for code, name in targets]

@@ -1,6 +1,7 @@
 """Line items, baskets and each customer's share of checks with a target item.
 
-Input rows carry ``account_id``, ``check_hash`` and the ``check`` document.
+Input rows carry ``account_id``, ``check_hash`` and the ``check`` document. Functions that take ``items``
+read the items from that array instead, such as ``parsed_line_items()`` of a landed document.
 """
 
 from __future__ import annotations
@@ -13,24 +14,34 @@ from tillwise.functions.money import ratio
 HISTOGRAM_BINS = 10
 
 
-def explode_items(tx: DataFrame) -> DataFrame:
+def _items(items: Column | None) -> Column:
+    return I.line_items() if items is None else items
+
+
+def explode_items(tx: DataFrame, items: Column | None = None) -> DataFrame:
     """One row per line item; rows without a readable document drop out."""
-    return tx.withColumn("item", F.explode(I.line_items())).select(
+    return tx.withColumn("item", F.explode(_items(items))).select(
         *tx.columns, "item.code", "item.name", "item.quantity", "item.whole_quantity", "item.price"
     )
 
 
-def flag_target(tx: DataFrame, test: I.ItemTest, flag: str = "has_target") -> DataFrame:
+def flag_target(
+    tx: DataFrame, test: I.ItemTest, flag: str = "has_target", items: Column | None = None
+) -> DataFrame:
     """Add whether the row's check holds a target item (within the row, no shuffle)."""
-    return tx.withColumn(flag, I.contains_item(I.line_items(), test))
+    return tx.withColumn(flag, I.contains_item(_items(items), test))
 
 
-def target_orders(tx: DataFrame, test: I.ItemTest, keys: tuple[str, ...]) -> DataFrame:
+def target_orders(
+    tx: DataFrame, test: I.ItemTest, keys: tuple[str, ...], items: Column | None = None
+) -> DataFrame:
     """Distinct checks (by ``keys``) that hold a target item."""
-    return flag_target(tx, test).filter("has_target").select(*keys).distinct()
+    return flag_target(tx, test, items=items).filter("has_target").select(*keys).distinct()
 
 
-def item_share_per_customer(tx: DataFrame, test: I.ItemTest, min_orders: int = 5) -> DataFrame:
+def item_share_per_customer(
+    tx: DataFrame, test: I.ItemTest, min_orders: int = 5, items: Column | None = None
+) -> DataFrame:
     """Target buyers with their checks, target checks and the share of the two.
 
     Checks are made distinct first, keyed by customer and check, so the rows of a very busy
@@ -38,7 +49,7 @@ def item_share_per_customer(tx: DataFrame, test: I.ItemTest, min_orders: int = 5
     Keeping customers with a target check stands for the join to the list of buyers.
     """
     checks = (
-        flag_target(tx, test)
+        flag_target(tx, test, items=items)
         .groupBy("account_id", "check_hash")
         .agg(F.bool_or("has_target").alias("has_target"))
     )
@@ -94,13 +105,13 @@ def share_histogram(summary: DataFrame, store_group: str | None = None) -> DataF
     return bins
 
 
-def basket_composition(tx: DataFrame) -> DataFrame:
+def basket_composition(tx: DataFrame, items: Column | None = None) -> DataFrame:
     """One row per check: its distinct non-zero-priced codes, sorted and joined by '-'.
 
     The check key is a digest of the document, so rows sharing a key share the composition
     and de-duplication is all that is left to shuffle; no item rows are produced.
     """
-    composition = I.priced_composition(I.line_items())
+    composition = I.priced_composition(_items(items))
     return (
         tx.select("check_hash", composition.alias("check_composition_id"))
         .filter(F.col("check_composition_id").isNotNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions import items as I
 from tillwise.functions.clock import week_start
@@ -19,23 +19,23 @@ from tillwise.sources.tables import materialize
 # are, a longer one is joined by a shuffle whose skewed partitions adaptive execution splits.
 
 
-def prior_buyer_rollcall(tx: DataFrame, test: I.ItemTest) -> DataFrame:
+def prior_buyer_rollcall(tx: DataFrame, test: I.ItemTest, items: Column | None = None) -> DataFrame:
     """Weekly customers, checks and sales of those who bought a target before their store's launch.
 
     Rows carry ``launch_date``. A buyer at a store is followed at that store, before and after
     its launch, in Monday-to-Sunday weeks.
     """
-    return rollcall_report(rollcall_weeks(tx, materialize(prior_buyers(tx, test))))
+    return rollcall_report(rollcall_weeks(tx, materialize(prior_buyers(tx, test, items))))
 
 
-def prior_buyers(tx: DataFrame, test: I.ItemTest) -> DataFrame:
+def prior_buyers(tx: DataFrame, test: I.ItemTest, items: Column | None = None) -> DataFrame:
     """Customers and stores with a target item on a check before the store's launch."""
-    return buyers(tx.filter(F.col("business_date") < F.col("launch_date")), test)
+    return buyers(tx.filter(F.col("business_date") < F.col("launch_date")), test, items)
 
 
-def buyers(tx: DataFrame, test: I.ItemTest) -> DataFrame:
+def buyers(tx: DataFrame, test: I.ItemTest, items: Column | None = None) -> DataFrame:
     """Customers and stores with a target item on a check."""
-    return flag_target(tx, test).filter("has_target").select("account_id", "store_id").distinct()
+    return flag_target(tx, test, items=items).filter("has_target").select("account_id", "store_id").distinct()
 
 
 def rollcall_weeks(tx: DataFrame, known: DataFrame) -> DataFrame:
@@ -153,21 +153,32 @@ HISTORY_DISPLAY_NAMES = {
 
 
 def target_customer_history(
-    tx: DataFrame, test: I.ItemTest, with_target_details: bool = False, display_names: bool = False
+    tx: DataFrame,
+    test: I.ItemTest,
+    with_target_details: bool = False,
+    display_names: bool = False,
+    items: Column | None = None,
 ) -> DataFrame:
     """Every check, at the same store, of customers who bought a target item there.
 
     The flag and the texts come from the row's own document, so the only join is the one that
     finds the customers.
     """
-    return history_of(tx, materialize(buyers(tx, test)), test, with_target_details, display_names)
+    return history_of(tx, materialize(buyers(tx, test, items)), test, with_target_details, display_names, items)
 
 
 def history_of(
-    tx: DataFrame, known: DataFrame, test: I.ItemTest, with_target_details: bool = False, display_names: bool = False
+    tx: DataFrame,
+    known: DataFrame,
+    test: I.ItemTest,
+    with_target_details: bool = False,
+    display_names: bool = False,
+    items: Column | None = None,
 ) -> DataFrame:
     """Every check of the ``known`` customers at the stores they are known for."""
-    history = tx.join(known, ["account_id", "store_id"], "left_semi").withColumn("_items", I.line_items())
+    history = tx.join(known, ["account_id", "store_id"], "left_semi").withColumn(
+        "_items", I.line_items() if items is None else items
+    )
     columns = [
         "store_name", "account_id", "customer_type", "check_hash", "timestamp", "local_time",
         "sale_in_dollar",
@@ -181,17 +192,17 @@ def history_of(
     return result.withColumnsRenamed(HISTORY_DISPLAY_NAMES) if display_names else result
 
 
-def target_item_details(tx: DataFrame, test: I.ItemTest) -> DataFrame:
+def target_item_details(tx: DataFrame, test: I.ItemTest, items: Column | None = None) -> DataFrame:
     """Readable list of the target items of each check that has one.
 
     Items are listed once per check, however many authorization rows carry it.
     """
     return (
-        flag_target(tx, test)
+        flag_target(tx, test, items=items)
         .filter("has_target")
         .select(
             "check_hash", "account_id", "store_id", "business_date",
-            I.target_item_details(I.line_items(), test).alias("item_details"),
+            I.target_item_details(I.line_items() if items is None else items, test).alias("item_details"),
         )
         .distinct()
     )

@@ -20,7 +20,10 @@ from tillwise.operators import (
     customers,
     dayparts,
     distinct,
+    heavy,
     normalize,
+    quantiles,
+    returns,
     stores,
     visits,
     yoy,
@@ -28,7 +31,9 @@ from tillwise.operators import (
 from tillwise.params import SALES_CHANNELS, CohortRules, Period, ReturnRateParams, StoreWindow
 from tillwise.plans import customer_reports, yoy_reports
 from tillwise.sources.buckets import ColocatedFact, bucket_fact
+from tillwise.sources.documents import land_documents
 from tillwise.sources.incremental import sync_changed
+from tillwise.sources.splits import read_splits, split_predicates
 from tillwise.sources.tables import materialize, publish_report, scratch_root, snapshot_table, sync_tables
 from tillwise.workload import views
 
@@ -47,6 +52,7 @@ COMPARED = Period(date(1996, 1, 1), SALES.end)
 CLOSURES = (Period(date(1997, 6, 9), date(1997, 6, 19)), Period(date(1999, 10, 4), date(1999, 10, 4)))
 PIVOT_GROUPS = {"ALL": "brand", "G0": "even", "G1": "odd"}
 BUCKETS = 8
+SPLITS = 6
 REVISED_DAY, MOVED_DAY = date(2024, 1, 10), date(2024, 1, 20)
 CLUSTERED_LOOKUPS = {
     "store_id": "S2", "account_id": "7", "channel_group": "Online", "customer_type": "New",
@@ -116,6 +122,29 @@ def snapshot_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
 
 
+def split_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items read in splits of a key that a third of them share, the other third without it."""
+    lines = _skewed_lines(spark, sf_dir)
+    return read_splits(lines.filter, split_predicates(lines, "part_key", SPLITS, spread="l_orderkey"))
+
+
+def _skewed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, key = views.read(spark, sf_dir, "lineitem"), F.col("l_orderkey") % 3
+    part = F.when(key == 0, F.lit(7).cast("bigint")).when(key == 1, F.col("l_partkey"))
+    return lines.select("l_orderkey", "l_linenumber", part.alias("part_key"))
+
+
+def split_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read through the splits, and whether the deepest split is within twice the mean."""
+    lines = _skewed_lines(spark, sf_dir)
+    predicates = split_predicates(lines, "part_key", SPLITS, spread="l_orderkey")
+    sizes = [F.count_if(F.expr(p)) for p in predicates]
+    return lines.agg(
+        reduce(lambda a, b: a + b, sizes).alias("row_count"),
+        (F.greatest(*sizes) * len(predicates) <= F.count("*") * 2).alias("within_bound"),
+    )
+
+
 def _earlier_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as they might have stood at an earlier sync: one day's values differ, one day was
     recorded a year early."""
@@ -431,6 +460,16 @@ def bitmap_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts).select(*names, "customers")
 
 
+def sketch_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median and 90th percentile of the sales of each store group and year, from stored sketches of days."""
+    days = publish_report(quantiles.sketch_sales(views.sales(spark, sf_dir)), _target(spark))
+    members = views.group_map(spark).select(F.col("storeId").alias("store_id"), F.col("storeGroupId").alias("store_group_id"))
+    merged = quantiles.merge_sketches(
+        days.join(members, "store_id").withColumn("year", F.year("business_day")), ("store_group_id", "year")
+    )
+    return quantiles.read_quantiles(merged, {"median_cents": 0.5, "p90_cents": 0.9})
+
+
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return yoy_reports.trial_store_yoy(
         views.order_authorizations(spark, sf_dir, None), views.merchant_map(spark), WINDOWS, COMPARED, ZONE
@@ -552,6 +591,37 @@ def _adoption(result: str) -> Query:
     return query
 
 
+def heavy_compositions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten most frequent compositions of the adopters' earlier checks, by counters and a recount."""
+    tables = customer_reports.adopter_baskets(
+        _normalized_orders(spark, sf_dir, "p_type"), ("S0", "S1", "S2", "S3"), NEW_CODE, LAUNCH, LOOKBACK
+    )
+    return heavy.top_compositions(materialize(tables["lookback_transactions"].select("check_hash", "check")))
+
+
+def _landed_checks(spark: SparkSession, sf_dir: str, windows=None, group_id: str | None = None) -> DataFrame:
+    return land_documents(_brand_checks(spark, sf_dir, windows, group_id), _target(spark))
+
+
+def parsed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of documents that were parsed when they were landed."""
+    rows = views.order_authorizations(spark, sf_dir).select("o_orderkey", "check")
+    return _plain(baskets.explode_items(land_documents(rows, _target(spark)), I.parsed_line_items()).drop("check"))
+
+
+def parsed_rollcall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _landed_checks(spark, sf_dir, WINDOWS, "ALL")
+    report = customers.prior_buyer_rollcall(rows, I.matches_code_and_name(TARGETS), I.parsed_line_items())
+    return _plain(report)
+
+
+def parsed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _landed_checks(spark, sf_dir, WINDOWS)
+    rows = rows.withColumn("customer_type", labels.customer_type(F.col("isNewAtStore")))
+    test = I.matches_code_and_name(TARGETS)
+    return _plain(customers.target_customer_history(rows, test, items=I.parsed_line_items()))
+
+
 def target_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(
         customer_reports.target_item_history(
@@ -618,11 +688,27 @@ def visit_return_rate_weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def incremental_return_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Return rates from a state that two deliveries brought up to date, the second with late rows."""
+    rows, path, day = visits.store_visits(views.event_visits(spark, sf_dir)), _target(spark), F.col("business_day")
+    late = (F.dayofmonth(day) % 3 == 0) & (F.col("store_id") == "S1")
+    first, second = F.lit(RETURNS.period_1.end), F.lit(RETURNS.period_2.start) + 7
+    slots = 8  # the state of the given tables is small
+    returns.start_state(path, rows.filter((day <= first) & ~late), slots=slots)
+    returns.update_state(path, rows.filter((day > first) & (day <= second) & ~late), slots=slots)
+    state = returns.update_state(path, rows.filter((day > second) | late), slots=slots)
+    members = stores.group_members(views.group_map(spark), "ALL").select("store_id")
+    pairs = returns.state_pairs(state.join(members, "store_id"), RETURNS)
+    return visits.visit_return_rate(pairs, RETURNS).drop("start_visit_number")
+
+
 QUERIES: dict[str, Query] = {
     "snapshot_roundtrip": snapshot_roundtrip,
     "snapshot_dimensions": snapshot_dimensions,
     "snapshot_incremental": snapshot_incremental,
     "snapshot_changes": snapshot_changes,
+    "split_snapshot": split_snapshot,
+    "split_balance": split_balance,
     "attach_store": attach_store,
     "valid_sales": valid_sales,
     "valid_sales_channel": valid_sales_channel,
@@ -663,6 +749,7 @@ QUERIES: dict[str, Query] = {
     "annual_cohort_yoy": annual_cohort_yoy,
     "annual_cohort_yoy_pivot": annual_cohort_yoy_pivot,
     "bitmap_customers": bitmap_customers,
+    "sketch_quantiles": sketch_quantiles,
     "period_over_period": period_over_period,
     "publish_trial_yoy": publish_trial_yoy,
     "yoy_rollup_date": _readout("sale_by_date"),
@@ -691,6 +778,10 @@ QUERIES: dict[str, Query] = {
     "basket_compositions": _adoption("compositions"),
     "composition_counts": _adoption("composition_counts"),
     "composition_top10": _adoption("top_compositions"),
+    "heavy_compositions": heavy_compositions,
+    "parsed_items": parsed_items,
+    "parsed_rollcall": parsed_rollcall,
+    "parsed_history": parsed_history,
     "target_customer_history": target_customer_history,
     "target_customer_history_display": target_customer_history_display,
     "colocated_rollcall": colocated_rollcall,
@@ -700,4 +791,5 @@ QUERIES: dict[str, Query] = {
     "visit_rank": visit_rank,
     "visit_return_rate": visit_return_rate,
     "visit_return_rate_weekend": visit_return_rate_weekend,
+    "incremental_return_rate": incremental_return_rate,
 }
