@@ -67,3 +67,64 @@ def test_sample_is_the_smallest_hashes(spark):
     hashed = rows.withColumn("h", F.xxhash64("doc_id")).orderBy("h").collect()
     want = {(r.doc_id, r.lang) for lang in ("rare", "common") for r in [x for x in hashed if x.lang == lang][:100]}
     assert got == want
+
+
+def test_no_column_asks_the_same_question_twice():
+    for n in range(2, 30):
+        code = langid.codewords(n).astype(int)
+        asked = {tuple(column * column[0]) for column in code.T}
+        assert len(asked) == code.shape[1] and (np.abs(code.sum(axis=0)) < n).all()
+
+
+def test_und_is_a_text_without_a_letter_of_any_category(spark):
+    import sys
+    import unicodedata
+
+    rows = [(i, f"{x} {x} text {x}", x) for i, x in enumerate(["aaa bbb", "ccc ddd"] * 4)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    predict = langid.predictor(model)()
+    kinds = {}
+    for point in range(sys.maxunicode + 1):
+        kinds.setdefault(unicodedata.category(chr(point)), []).append(chr(point))
+    for kind, chars in kinds.items():
+        if kind == "Cs":
+            continue
+        for char in chars[:: max(1, len(chars) // 50)]:
+            assert (predict(f"1 {char}2")[0] == "und") == (not kind.startswith("L")), (kind, char)
+    assert predict("½²①Ⅷ") == ("und", 0.0, True)
+
+
+def plain_prediction(model, text):
+    """Loss of every codeword, gram by gram."""
+    data = f" {text.lower()} ".encode()
+    grams = [data[i] | data[i + 1] << 8 for i in range(len(data) - 1)]
+    for i in range(len(data) - 3):
+        four = int.from_bytes(data[i : i + 4], "little")
+        grams.append(langid.BUCKETS + (four * 2654435761 % 2**32 >> 16))
+    margins = [sum(float(model.weights[g, b]) for g in grams) / len(grams) for b in range(model.code.shape[1])]
+    losses = [
+        sum(np.log1p(np.exp(-int(row[b]) * m * langid.SHARPNESS)) for b, m in enumerate(margins)) for row in model.code
+    ]
+    at = min(range(len(losses)), key=lambda k: (losses[k], k))
+    return model.languages[at], 1 / sum(np.exp(losses[at] - x) for x in losses)
+
+
+def test_fit_and_decoding_equal_a_plain_count(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang is not null and text is not null")
+    model = langid.fit(docs)
+    rows = docs.select("lang", "text").collect()
+    totals = {}
+    for lang, text in rows:
+        total = totals.setdefault(lang, np.zeros(2 * langid.BUCKETS))
+        for gram in langid.ngrams(text):
+            total[gram] += 1
+    assert model.languages == tuple(sorted(totals))
+    rates = np.array([totals[x] / totals[x].sum() for x in model.languages])
+    for bit in range(model.code.shape[1]):
+        up, down = (rates[model.code[:, bit] == s].mean(axis=0) + langid.SMOOTHING / (2 * langid.BUCKETS) for s in (1, -1))
+        assert np.allclose(model.weights[:, bit], np.log(up / up.sum()) - np.log(down / down.sum()), atol=1e-4)
+    predict = langid.predictor(model)()
+    for _, text in rows[:40]:
+        lang, score, _ = predict(text[:3000])
+        expected = plain_prediction(model, text[:3000])
+        assert lang == expected[0] and abs(score - expected[1]) < 1e-6

@@ -7,7 +7,6 @@ of its margin; a small lead over the second codeword marks the text as ambiguous
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +25,6 @@ SMOOTHING = 0.5
 SHARPNESS = 20.0
 #: Texts whose probability is below this have no clear nearest codeword.
 AMBIGUOUS = 0.4
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
@@ -39,10 +37,10 @@ class Model:
 
 
 def codewords(languages: int) -> np.ndarray:
-    """One row of +-1 per language, no column constant or repeated.
+    """One row of +-1 per language; no column is constant, repeated or the opposite of another.
 
     Up to seven languages: the exhaustive code of 2^(k-1)-1 bits, whose rows differ in 2^(k-2).
-    More: the widest of 64 fixed pseudo-random codes of 10 log2 k bits.
+    More: the widest of 64 fixed pseudo-random codes of at most 10 log2 k bits.
     """
     if languages < 2:
         return np.ones((languages, 0), dtype=np.int8)
@@ -52,14 +50,18 @@ def codewords(languages: int) -> np.ndarray:
         rows += [1 - 2 * ((bits >> k) & 1) for k in range(languages - 1)]
         return np.array(rows, dtype=np.int8)
     width = int(np.ceil(10 * np.log2(languages)))
-    draws = [np.random.default_rng(s).choice([-1, 1], size=(languages, width)) for s in range(64)]
+
+    def draw(seed: int) -> np.ndarray:
+        code = np.random.default_rng(seed).choice([-1, 1], size=(languages, width))
+        # a column and its opposite are the same question: the first row of all is +1
+        code = np.unique(code * code[0], axis=1)
+        return code[:, code.sum(axis=0) < languages]
 
     def gap(code: np.ndarray) -> int:
         same = code @ code.T
-        return width - int(same[~np.eye(languages, dtype=bool)].max())
+        return code.shape[1] - int(same[~np.eye(languages, dtype=bool)].max())
 
-    best = max(draws, key=gap)
-    return best[:, np.abs(best.sum(axis=0)) < languages].astype(np.int8)
+    return max(map(draw, range(64)), key=gap).astype(np.int8)
 
 
 def ngrams(text: str) -> np.ndarray:
@@ -76,7 +78,9 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """The model of ``labelled`` (doc_id, text, lang); null languages and texts are left out.
 
     ``per_language`` rows of each language are used at most; no labelled rows give a model without
-    languages. The sample's n-gram counts are taken in tasks; their sums reach the driver.
+    languages. The sample's n-gram counts are taken in tasks; their sums, at most 2 * BUCKETS numbers
+    per language, reach the driver. Every distinct value of ``lang`` is a language: labels are meant to
+    be a list of some hundred languages at most, not free text.
     """
     rows = labelled.where("lang is not null and text is not null")
     chosen = hashed_sample(rows, "lang", per_language)
@@ -130,7 +134,7 @@ def predictor(model: Model, sharpness: float = SHARPNESS):
         weights, code = model.weights, model.code.astype(np.float64)
 
         def predict(text: str | None) -> tuple[str, float, bool]:
-            if not model.languages or not text or not _LETTER.search(text):
+            if not model.languages or not text or not any(map(str.isalpha, text)):
                 return UNKNOWN, 0.0, True
             if len(model.languages) == 1:
                 return model.languages[0], 1.0, False
@@ -154,8 +158,8 @@ FIELDS = [("lang_pred", "string"), ("score", "double"), ("ambiguous", "boolean")
 def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (default all) of ``docs`` with lang_pred, score and ambiguous.
 
-    Only the text decides. Null texts and texts without a letter are ``und`` with score 0 and
-    ambiguous; so is every text if nothing was learned. A tie goes to the first language in
+    Only the text decides. Null texts and texts without a letter (a character of a Unicode letter
+    category; numerals and circled numbers are none) are ``und`` with score 0 and ambiguous; so is every text if nothing was learned. A tie goes to the first language in
     alphabetical order. Rows come back one for one.
     """
     return append_by_text(docs, predictor(model), FIELDS, keep=keep)
