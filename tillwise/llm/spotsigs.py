@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import let
+from tillwise.llm.common import land, let
 from tillwise.llm.order import next_key
 
 #: The anchors, common words of English, German, French and Spanish.
@@ -23,8 +23,8 @@ ANCHORS = (
 CHAIN = 2
 #: Set sizes whose ratio is at least this fall in the same or in neighbouring partitions.
 PARTITION_RATIO = 0.8
-#: Comparisons whose set sizes alone keep the likeness under this are pruned and count as 0.
-PRUNE_BELOW = 0.02
+#: Classes in the list of one signature that meet in one task.
+LIST_PART = 512
 _FIRST_KEY = -(2**63)
 
 
@@ -73,20 +73,103 @@ def fingerprint(signature_set: Column) -> Column:
 def length_partition(signature_set: Column, ratio: float = PARTITION_RATIO) -> Column:
     """Number of the partition of set sizes; sets with a Jaccard likeness of ``ratio`` or more are
     at most one partition apart. Empty sets are in partition -1."""
-    size = F.size(signature_set)
-    return F.when(size == 0, F.lit(-1)).otherwise(F.floor(F.log(size) / F.log(F.lit(1 / ratio))).cast("int"))
+    return _partition_of(F.size(signature_set), ratio)
 
 
-def likeness(a: Column, b: Column, prune_below: float = PRUNE_BELOW) -> Column:
-    """Jaccard likeness of two signature sets; 1 for two empty sets.
+def _partition_of(size: Column, ratio: float) -> Column:
+    if ratio >= 1:
+        return size - 1
+    return F.when(size == 0, F.lit(-1)).otherwise(F.floor(F.log(size) / F.log(F.lit(1 / ratio)) + 1e-9).cast("int"))
 
-    The ratio of the sizes bounds it from above: pairs with a bound under ``prune_below`` are not
-    intersected and count as 0.
+
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard likeness of two signature sets; 1 for two empty sets. Always exact."""
+    both = F.size(a) + F.size(b)
+    return F.when(both == 0, F.lit(1.0)).otherwise(let(F.size(F.array_intersect(a, b)), lambda c: c / (both - c)))
+
+
+def classes_of(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents with equal sets as one: (members, classes) of ``sets`` (doc_id, signatures).
+
+    Members are (doc_id, class_id), one row for each row of ``sets``; classes are (class_id, n_documents,
+    signatures). A class is named by its smallest doc_id, null if it has no other. Sets meet by a
+    128-bit digest, so documents with many copies are reduced in each task first.
     """
-    small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
-    common = F.size(F.array_intersect(a, b))
-    exact = let(common, lambda c: c / (small + large - c))
-    return F.when(large == 0, F.lit(1.0)).when(small < large * prune_below, F.lit(0.0)).otherwise(exact)
+    keyed = land(sets.select("doc_id", "signatures", F.md5(F.array_join("signatures", ",")).alias("key")))
+    classes = land(
+        keyed.groupBy("key").agg(
+            F.min("doc_id").alias("class_id"), F.count("*").alias("n_documents"), F.first("signatures").alias("signatures")
+        )
+    )
+    members = keyed.select("doc_id", "key").join(classes.select("key", "class_id"), "key").drop("key")
+    return members, classes
+
+
+def _rarest_first(classes: DataFrame, threshold: float) -> DataFrame:
+    """(key, size, partition, signature, n): as many of a class's rarest signatures as a class alike must share one of.
+
+    Two sets of a likeness of ``threshold`` or more differ in few signatures; under any one order of all
+    signatures they share one among the first size - ceil(threshold * size) + 1 of each. The order is by
+    how many classes (``n``) have the signature, then by its value.
+    """
+    size = F.size("signatures")
+    listed = classes.select("key", size.alias("size"), F.explode("signatures").alias("signature"))
+    counts = listed.groupBy("signature").agg(F.count("*").alias("n"))
+    # a signature alone cannot be shared, but it holds its place in the order
+    ordered = listed.join(counts, "signature").groupBy("key", "size").agg(
+        F.array_sort(F.collect_list(F.struct("n", "signature"))).alias("ordered")
+    )
+    kept = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9).cast("int") + 1
+    rare = F.filter(F.slice("ordered", F.lit(1), kept), lambda x: x["n"] > 1)
+    return ordered.select(
+        "key", "size", _partition_of(F.col("size"), threshold).alias("partition"), F.explode(rare).alias("entry")
+    ).select("key", "size", "partition", "entry.signature", "entry.n")
+
+
+def near_pairs(sets: DataFrame, threshold: float = PARTITION_RATIO) -> tuple[DataFrame, DataFrame]:
+    """Which documents are near duplicates: (members, pairs) of ``sets`` (doc_id, signatures).
+
+    Members are (doc_id, class_id) as of ``classes_of``. Pairs are (class_a, class_b, near), every pair of
+    classes with a likeness of ``threshold`` (above 0) or more once; copies are not expanded. Documents
+    without a signature are a class without pairs. Null ids and repeated rows are members like any other;
+    no rows give none. Other columns are ignored.
+
+    Partitions of the set size decide who meets: a class looks for others in the lists of its rarest
+    signatures, in its own partition and the next one only, as sizes further apart rule the likeness out.
+    Lists of frequent signatures are split into parts, so the longest of them is no task of its own.
+    Candidates are pruned by their sizes and then compared by their whole sets. All of it is joins and
+    expressions; the number of candidates grows with the pairs that share rare signatures.
+    """
+    members, classes = classes_of(sets)
+    full = classes.where(F.size("signatures") > 0)
+    rare = land(_rarest_first(full, threshold))
+    parts = F.ceil(F.col("n") / LIST_PART).cast("int")
+    listed = rare.select(
+        F.col("key").alias("key_b"), F.col("size").alias("size_b"), F.col("partition").alias("partition_b"), "signature",
+        F.pmod(F.xxhash64("key"), parts).cast("int").alias("part"),
+    )
+    seeking = rare.select(
+        F.col("key").alias("key_a"), F.col("size").alias("size_a"), F.col("partition").alias("partition_a"), "signature",
+        F.explode(F.array(F.col("partition"), F.col("partition") + 1)).alias("partition_b"), parts.alias("parts"),
+    ).select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    candidates = (
+        seeking.join(listed, ["signature", "partition_b", "part"])
+        .where((F.col("partition_a") < F.col("partition_b")) | (F.col("key_a") < F.col("key_b")))
+        .where(small >= large * threshold - 1e-9)
+        .select("key_a", "key_b")
+        .distinct()
+    )
+
+    def side(name: str) -> DataFrame:
+        return full.select(
+            F.col("key").alias(f"key_{name}"), F.col("class_id").alias(f"class_{name}"), F.col("signatures").alias(f"set_{name}")
+        )
+
+    compared = candidates.join(side("a"), "key_a").join(side("b"), "key_b").select(
+        "class_a", "class_b", likeness(F.col("set_a"), F.col("set_b")).alias("near")
+    )
+    return members, compared.where(F.col("near") >= threshold - 1e-12)
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
