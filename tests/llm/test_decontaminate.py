@@ -80,3 +80,64 @@ def test_blocks_of_items_do_not_change_the_matches(spark, sf_dir, documents):
     assert {r.doc_id for r in d.drop_contaminated(documents, items, 3000).select("doc_id").collect()} == {
         r.doc_id for r in documents.select("doc_id").collect()
     } - ids
+
+
+def test_short_items_are_found_as_whole_texts_only():
+    match = d.matcher([(1, "a"), (2, "banana"), (3, "eleven char"), (4, "twelve chars"), (2, "banana")])
+    assert match("banana") == [(2, 0, 0, 6), (2, 0, 0, 6)] and match(" Banana\n") == match("banana")
+    assert match("a banana") == [] and match("a") == [(1, 0, 0, 1)]
+    assert match("the eleven char text") == [] and match("Eleven  char") == [(3, 0, 0, 11)]
+    assert [h[:2] for h in match("xx twelve charz yy")] == [(4, 1)] and match("") == match(None) == []
+
+
+def test_pieces_are_found_at_every_place():
+    pick = random.Random(7)
+    items = ["".join(pick.choices("ab 日", k=pick.randint(12, 60))) for _ in range(40)]
+    edits = [d.budget(len(x)) for x in items]
+    index = d.PieceIndex(items, edits)
+    for stretch in (1 << 20, 16):
+        d.STRETCH, before = stretch, d.STRETCH
+        try:
+            for _ in range(30):
+                text = "".join(pick.choices("ab 日", k=pick.randint(0, 200)))
+                want = {
+                    (at, where - offset)
+                    for at, item in enumerate(items)
+                    for offset, piece in d.pieces(item, edits[at])
+                    for where in range(len(text))
+                    if text.startswith(piece, where)
+                }
+                assert set(index.hits(text)) == want
+        finally:
+            d.STRETCH = before
+
+
+def test_a_block_of_items_takes_little_memory():
+    """In a process of its own, as a task's worker would hold it."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    program = """
+import random, resource
+from tillwise.llm import decontaminate as d
+pick = random.Random(2)
+words = ["".join(pick.choices("abcdefghijklmnop", k=pick.randint(2, 9))) for _ in range(20000)]
+items = [(i, " ".join(pick.choices(words, k=30))) for i in range(20000)]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+match = d.matcher(items)
+match(" ".join(x for _, x in items[:300]))
+print(sum(len(x) for _, x in items), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    root = Path(d.__file__).resolve().parents[2]
+    out = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, cwd=root, check=True).stdout.split()
+    assert int(out[0]) > 3_500_000 and int(out[1]) < 200, out
+
+
+def test_the_driver_holds_one_block_at_a_time(spark, edge_docs):
+    items = spark.createDataFrame([(i, f"item number {i} of a longer list of items") for i in range(60)], "item_id bigint, text string")
+    blocks = list(d.item_blocks(items, 500))
+    assert len(blocks) > 3 and sorted(i for b in blocks for i, _ in b) == list(range(60))
+    one = spark.createDataFrame([(5, "so item number 7 of a longer list of items it is")], "doc_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in d.contaminations(one, items, 500).collect()} >= {(5, 7)}
+    assert d.drop_contaminated(one, items, 500).count() == 0
