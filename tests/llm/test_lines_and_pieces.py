@@ -114,3 +114,21 @@ def test_repeated_rows_count_once(spark, tmp_path):
     dropped = {r.doc_id: r.n_dropped for r in done}
     assert dropped == dict(want) and dropped[1] == 0 and dropped[None] == 0 and dropped[99] == 1
     assert got[1] == hashlib.sha256(b"repeated\nown").hexdigest()
+
+
+def test_rows_whose_first_hash_collides_stay_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tillwise.llm import common, line_dedup, simhash
+
+    real = common._row_hashes
+    monkeypatch.setattr(common, "_row_hashes", lambda *x: (F.lit(5).cast("bigint"), real(*x)[1]))
+    rows = [(i, f"shared line\nown line {i} of this document") for i in range(12)] + [(None, "shared line"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    done = {(r.doc_id, r.text): r for r in line_dedup.drop_shared_lines(docs).collect()}
+    assert len(done) == len(rows)
+    for i, text in rows:
+        assert done[i, text].kept == ("" if i is None else f"own line {i} of this document")
+    different = [(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(20)]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(different, "doc_id bigint, text string"))
+    assert sorted(map(tuple, kept.collect())) == different

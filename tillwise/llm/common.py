@@ -62,8 +62,17 @@ def columns(df: DataFrame) -> list[Column]:
 
 
 def row_key(df: DataFrame) -> Column:
-    """A key of (doc_id, text) without nulls; equal rows share it, which every use allows for."""
-    return F.xxhash64(df["doc_id"], df["text"])
+    """A key of (doc_id, text) without nulls, 128 bits in the fields a and b.
+
+    Equal rows share it, which every use allows for; that different rows do is out of the question
+    at any number of documents.
+    """
+    first, second = _row_hashes(df["doc_id"], df["text"])
+    return F.struct(first.alias("a"), second.alias("b"))
+
+
+def _row_hashes(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(doc_id, text), F.xxhash64(F.lit(1), text, doc_id.isNull(), doc_id)
 
 
 def append_by_text(
