@@ -56,4 +56,4 @@ def visit_rank(
     known = [F.col(key).isNotNull() for key in visits.VISITOR]
     window = W.partitionBy(*visits.VISITOR).orderBy(F.col(order), *[F.col(name) for name in tie])
     light = fact.light.filter(known[0] & known[1]).withColumn("visit_number", F.row_number().over(window))
-    return light.unionByName(visits.visit_rank(fact.heavy.filter(known[0] & known[1]), order, tie))
+    return light.unionByName(visits.ranged_visit_rank(fact.heavy.filter(known[0] & known[1]), order, tie))

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tillwise.functions.money import ratio
 from tillwise.params import Period, ReturnRateParams
+from tillwise.sources.buckets import VISITOR, heavy_keys, split_heavy
 from tillwise.sources.tables import materialize
 
-VISITOR = ("account_id", "store_id")
-
 
 def store_visits(tx: DataFrame, members: DataFrame | None = None, store_id: str | None = None) -> DataFrame:
     """Transactions with a customer, optionally of the stores of a group and of one store.
@@ -33,11 +32,28 @@ def visit_rank(
 ) -> DataFrame:
     """Add ``visit_number``: 1, 2, ... per customer and store by local time.
 
-    Rows are dealt into ranges of (customer, store, time, tie), so a visitor with a large share of
-    all rows (a shared or placeholder account) spreads over many tasks, even within one hour. Rows
-    are numbered inside their range; the counts of a visitor's earlier ranges, a few numbers per
-    visitor, give where its numbers start. The ranged rows are landed first, because both passes
-    must see the same ranges.
+    Visitors with more rows than an average task are heavy; there are fewer of them than tasks. All
+    others are numbered by one window after one shuffle of the rows. The heavy ones are numbered
+    by ``ranged_visit_rank``, so a shared or placeholder account spreads over many tasks.
+    """
+    parts = int(visits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    light, heavy = split_heavy(visits, heavy_keys(visits, parts, VISITOR), VISITOR)
+    window = W.partitionBy(*VISITOR).orderBy(F.col(order), *[F.col(name) for name in tie])
+    numbered = light.withColumn("visit_number", F.row_number().over(window))
+    return numbered.unionByName(ranged_visit_rank(heavy, order, tie))
+
+
+def ranged_visit_rank(
+    visits: DataFrame,
+    order: str = "local_time",
+    tie: Sequence[str] = ("transaction_composite_key",),
+) -> DataFrame:
+    """What ``visit_rank`` gives, for visitors with a large share of all rows.
+
+    Rows are dealt into ranges of (customer, store, time, tie), so a visitor spreads over many tasks,
+    even within one hour. Rows are numbered inside their range; the counts of a visitor's earlier
+    ranges, a few numbers per visitor, give where its numbers start. The ranged rows are landed first,
+    because both passes must see the same ranges.
     """
     sort = [F.col(order), *[F.col(name) for name in tie]]
     dealt = materialize(

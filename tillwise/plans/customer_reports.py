@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from tillwise.functions import items as I, labels
 from tillwise.operators import baskets, customers, stores, visits
 from tillwise.params import SALE_TYPES, Period, ReturnRateParams, StoreWindow
+from tillwise.sources.tables import materialize
 
 
 def return_rates(
@@ -101,19 +102,23 @@ def adopter_baskets(
 ) -> dict[str, DataFrame]:
     """What adopters of a new item used to order: customers, checks, compositions, top slices.
 
-    Only the top slices are in order; the lists are left unsorted.
+    Adopters are found among the dates of the launch and their earlier rows among those of the lookback, so
+    of a table partitioned by date each partition is read once. The earlier rows are landed. Only the top
+    slices are in order; the lists are left unsorted.
     """
     span = Period(lookback.start, launch.end)
     rows = _normalized_sales(normalized, span).filter(F.col("store_id").isin(*store_ids))
     result = customers.adoption_lookback(rows, I.matches_code(new_code), launch, lookback)
-    compositions = baskets.basket_composition(result["lookback_transactions"])
+    # All other results start from these rows, which are landed once.
+    earlier = materialize(
+        result["lookback_transactions"].select("check_hash", "account_id", "sale_in_dollar", "timestamp", "check")
+    )
+    compositions = baskets.basket_composition(earlier)
     counts = baskets.composition_counts(compositions)
     return {
         "adopters": result["adopters"],
-        "lookback_customers": result["lookback_customers"],
-        "lookback_transactions": result["lookback_transactions"].select(
-            "check_hash", "account_id", "sale_in_dollar", "timestamp", "check"
-        ),
+        "lookback_customers": earlier.select("account_id").distinct(),
+        "lookback_transactions": earlier,
         "compositions": compositions.select("check_composition_id").distinct(),
         "composition_counts": counts,
         "top_compositions": baskets.top_k_plus_others(counts, top),

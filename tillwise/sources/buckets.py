@@ -28,6 +28,22 @@ class ColocatedFact:
     buckets: int
 
 
+def heavy_keys(fact: DataFrame, parts: int, keys: Sequence[str] = VISITOR) -> DataFrame:
+    """The keys with more rows than an average one of ``parts`` parts; there are fewer of them than parts.
+
+    Counts are taken in each task first. The list is landed, so joins to it know how short it is.
+    """
+    average = max(fact.count() / parts, 1.0)
+    sizes = fact.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return materialize(sizes.filter(F.col("_rows") > average).select(*keys))
+
+
+def split_heavy(fact: DataFrame, heavy: DataFrame, keys: Sequence[str] = VISITOR) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other keys, and those of the ``heavy`` ones; null is a key like any other."""
+    same = _same_keys(fact, heavy, keys)
+    return fact.join(heavy, same, "left_anti"), fact.join(heavy, same, "left_semi")
+
+
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list:
     return [left[key].eqNullSafe(right[key]) for key in keys]
 
@@ -43,15 +59,10 @@ def bucket_fact(
     range and the others by key; it is read four times, so pass a landed table where it is dear.
     """
     spark, keys = fact.sparkSession, tuple(keys)
-    average = fact.count() / buckets
-    sizes = fact.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    heavy_keys = materialize(sizes.filter(F.col("_rows") > max(average, 1.0)).select(*keys))
-    same = _same_keys(fact, heavy_keys, keys)
+    light, heavy = split_heavy(fact, heavy_keys(fact, buckets, keys), keys)
     name = f"tillwise_{uuid.uuid4().hex}"
-    light = fact.join(heavy_keys, same, "left_anti").repartition(buckets, *keys)
-    writer = light.write.mode("overwrite").format("parquet").option("path", f"{path}/light")
+    writer = light.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", f"{path}/light")
     writer.bucketBy(buckets, *keys).sortBy(*keys, *sort_by).saveAsTable(name)
-    heavy = fact.join(heavy_keys, same, "left_semi")
     order = [*keys, *sort_by]
     heavy.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(f"{path}/heavy")
     return ColocatedFact(

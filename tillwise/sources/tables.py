@@ -92,13 +92,18 @@ def literal_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> Da
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for this application's intermediates.
+    """Shared folder for this application's intermediates, under the session's ``spark.checkpoint.dir``.
 
-    It is under the session's ``spark.checkpoint.dir``; where that is unset, under the warehouse,
-    which driver and executors share as well.
+    Where that is unset a single-machine session uses its warehouse folder; a cluster must set it, as
+    no other folder is known to be shared by driver and executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root}/tillwise/{spark.sparkContext.applicationId}"
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root}/tillwise/{context.applicationId}"
 
 
 def drop_intermediates(spark: SparkSession) -> None:
@@ -111,8 +116,8 @@ def drop_intermediates(spark: SparkSession) -> None:
 def materialize(df: DataFrame) -> DataFrame:
     """Write an intermediate that several branches read, and read it back.
 
-    Used for results that are far smaller than the facts they come from. The written table
-    survives lost executors, runs the upstream work once, and gives the optimizer the true
-    size for its choice between broadcast and shuffled joins.
+    The written table survives lost executors, runs the upstream work once, and gives the optimizer the
+    true size for its choice between broadcast and shuffled joins. It takes as much room as its rows, so
+    land narrow columns of a fact, or what is reduced from it.
     """
     return write_table(df, f"{scratch_root(df.sparkSession)}/{uuid.uuid4().hex}")

@@ -562,7 +562,7 @@ def share_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prior_buyer_rollcall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(
         customer_reports.menu_test_rollcall(
-            views.order_authorizations(spark, sf_dir), views.merchant_map(spark), views.group_map(spark),
+            _landed_orders(spark, sf_dir), views.merchant_map(spark), views.group_map(spark),
             "ALL", WINDOWS, TARGETS, SALES, ZONE,
         )
     )
@@ -574,6 +574,16 @@ def _normalized_orders(spark: SparkSession, sf_dir: str, code: str) -> DataFrame
     )
 
 
+def _landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw authorizations as a snapshot leaves them; the view that stands for the source packs its documents anew
+    for every reader."""
+    return materialize(views.order_authorizations(spark, sf_dir))
+
+
+def _published_orders(spark: SparkSession, sf_dir: str, code: str) -> DataFrame:
+    return publish_report(_normalized_orders(spark, sf_dir, code), _target(spark), cluster_by=("business_date",))
+
+
 def _funnel(stage: str) -> Query:
     return lambda spark, sf_dir: customer_reports.launch_conversion(
         _normalized_orders(spark, sf_dir, "p_brand"), views.group_map(spark), "ALL", WINDOWS,
@@ -584,7 +594,7 @@ def _funnel(stage: str) -> Query:
 def _adoption(result: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = customer_reports.adopter_baskets(
-            _normalized_orders(spark, sf_dir, "p_type"), ("S0", "S1", "S2", "S3"), NEW_CODE, LAUNCH, LOOKBACK
+            _published_orders(spark, sf_dir, "p_type"), ("S0", "S1", "S2", "S3"), NEW_CODE, LAUNCH, LOOKBACK
         )
         return _plain(tables[result])
 
@@ -594,9 +604,9 @@ def _adoption(result: str) -> Query:
 def heavy_compositions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten most frequent compositions of the adopters' earlier checks, by counters and a recount."""
     tables = customer_reports.adopter_baskets(
-        _normalized_orders(spark, sf_dir, "p_type"), ("S0", "S1", "S2", "S3"), NEW_CODE, LAUNCH, LOOKBACK
+        _published_orders(spark, sf_dir, "p_type"), ("S0", "S1", "S2", "S3"), NEW_CODE, LAUNCH, LOOKBACK
     )
-    return heavy.top_compositions(materialize(tables["lookback_transactions"].select("check_hash", "check")))
+    return heavy.top_compositions(tables["lookback_transactions"])
 
 
 def _landed_checks(spark: SparkSession, sf_dir: str, windows=None, group_id: str | None = None) -> DataFrame:
@@ -625,7 +635,7 @@ def parsed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def target_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(
         customer_reports.target_item_history(
-            views.order_authorizations(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE,
+            _landed_orders(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE,
         )
     )
 
@@ -633,7 +643,7 @@ def target_customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def target_customer_history_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(
         customer_reports.target_item_history(
-            views.order_authorizations(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE,
+            _landed_orders(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE,
             with_target_details=True, display_names=True,
         )
     )
