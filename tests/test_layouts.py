@@ -6,10 +6,13 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tillwise.operators import dayparts, normalize
 from tillwise.sources.curve import curve_key, quantile_cuts, write_clustered
 from tillwise.sources.incremental import sync_changed
+from tillwise.sources.numbering import delivered_positions, out_of_order, sorted_positions
+from tillwise.sources.tables import scratch_root, write_table
 from tillwise.workload import queries as Q
 
 
@@ -86,6 +89,30 @@ def test_odd_inputs_are_written_whole(spark, tmp_path):
     assert write_clustered(frame.limit(0), str(tmp_path / "b"), ["k"], "s").collect() == []
 
 
+# --- positions ---------------------------------------------------------------------------
+
+
+def test_positions_are_dense_and_in_order(spark):
+    pick = random.Random(1)
+    rows = [(i, pick.choice([None, 1, 2, 2, 2, 3]), "p") for i in range(2000)]
+    frame = spark.createDataFrame(rows, "id bigint, k int, position string").repartition(7)
+    got = sorted_positions(frame, [F.col("k").desc(), "id"], "n").collect()
+    assert [r["n"] for r in sorted(got, key=lambda r: r["n"])] == list(range(1, 2001))
+    expected = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert [r["id"] for r in sorted(got, key=lambda r: r["n"])] == [r[0] for r in expected]
+    assert delivered_positions(frame.limit(0)).collect() == []
+    same_key = sorted_positions(frame.withColumn("k", F.lit(1)), ["k"], "n", 5).collect()
+    assert sorted(r["n"] for r in same_key) == list(range(5, 2005))
+
+
+def test_rows_out_of_order_in_their_file_are_counted(spark, tmp_path):
+    frame = spark.createDataFrame([(k,) for k in (1, 2, 5, 4, 4, 3, 9)], "k int").coalesce(1)
+    frame.write.parquet(str(tmp_path / "a"))
+    assert tuple(out_of_order(spark.read.parquet(str(tmp_path / "a")), ["k"]).first()) == (7, 2)
+    write_table(frame, str(tmp_path / "b"), cluster_by=["k"])
+    assert tuple(out_of_order(spark.read.parquet(str(tmp_path / "b")), ["k"]).first()) == (7, 0)
+
+
 # --- snapshots of changed dates ----------------------------------------------------------
 
 DAY = datetime(2024, 3, 1)
@@ -224,3 +251,22 @@ def test_lookup_join_has_no_condition_beside_the_store(spark, sf_dir):
     assert "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
 
 
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Context:
+        applicationId, master = "app", "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: "/local/warehouse" if "warehouse" in key else default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session)
+    Session.sparkContext.master = "local[4]"
+    assert scratch_root(Session) == "/local/warehouse/tillwise/app"

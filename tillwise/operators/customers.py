@@ -192,6 +192,13 @@ def history_of(
     return result.withColumnsRenamed(HISTORY_DISPLAY_NAMES) if display_names else result
 
 
+def history_order(display_names: bool = False) -> list[Column]:
+    """Report order of the history: store, customer, time; rows of one moment by check."""
+    names = ("store_name", "account_id", "timestamp", "check_hash")
+    shown = [HISTORY_DISPLAY_NAMES[name] if display_names else name for name in names]
+    return [F.col(f"`{name}`") for name in shown]
+
+
 def target_item_details(tx: DataFrame, test: I.ItemTest, items: Column | None = None) -> DataFrame:
     """Readable list of the target items of each check that has one.
 

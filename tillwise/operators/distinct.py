@@ -9,12 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwise.sources.tables import materialize
-
-#: Place of the row number within its partition in Spark's monotonically increasing ids.
-PLACE_BITS = 33
+from tillwise.sources.numbering import sorted_positions
 
 
 def number_customers(tx: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -22,24 +19,14 @@ def number_customers(tx: DataFrame, known: DataFrame | None = None) -> DataFrame
 
     Customers of ``known`` (account_id, customer_no) keep their numbers, new ones follow. New customers are
     numbered store by store (the first of their stores), so a store's customers share few bitmaps.
-    They are dealt by range and numbered within a range; the counts of the ranges, one row each,
-    give where a range starts. Rows without a customer have no number.
+    Rows without a customer have no number.
     """
     homes = tx.filter(F.col("account_id").isNotNull()).groupBy("account_id").agg(F.min("store_id").alias("_home"))
     first = 1
     if known is not None:
         homes = homes.join(known.select("account_id"), "account_id", "left_anti")
         first = (known.agg(F.max("customer_no")).first()[0] or 0) + 1
-    order = ["_home", "account_id"]
-    dealt = materialize(
-        homes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
-    )
-    part = F.shiftrightunsigned("_id", PLACE_BITS)
-    ranges = dealt.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    starts = ranges.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n") + first).alias("_start"))
-    place = F.col("_id").bitwiseAND((1 << PLACE_BITS) - 1)
-    fresh = dealt.withColumn("_part", part).join(starts, "_part")
-    numbered = fresh.select("account_id", (F.col("_start") + place).alias("customer_no"))
+    numbered = sorted_positions(homes, ["_home", "account_id"], "customer_no", first).drop("_home")
     return numbered if known is None else known.select("account_id", "customer_no").unionByName(numbered)
 
 

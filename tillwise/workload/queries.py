@@ -33,6 +33,7 @@ from tillwise.plans import customer_reports, yoy_reports
 from tillwise.sources.buckets import ColocatedFact, bucket_fact
 from tillwise.sources.documents import land_documents
 from tillwise.sources.incremental import sync_changed
+from tillwise.sources.numbering import delivered_positions, out_of_order
 from tillwise.sources.splits import read_splits, split_predicates
 from tillwise.sources.tables import materialize, publish_report, scratch_root, snapshot_table, sync_tables
 from tillwise.workload import views
@@ -516,6 +517,16 @@ def _contribution(dimension: str) -> Query:
     )
 
 
+def contribution_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekday contributions in report order, each row with its position."""
+    return delivered_positions(_contribution("weekday_name")(spark, sf_dir))
+
+
+def published_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the published report, and those out of the order in which its files were written."""
+    return out_of_order(_published_pairs(spark, sf_dir), ("store_id", "customer_type", "business_date"))
+
+
 def _pivot(name: str) -> Query:
     return lambda spark, sf_dir: _plain(
         yoy_reports.group_yoy_readouts(_published_changes(spark, sf_dir), PIVOT_GROUPS, CLOSURES)[name]
@@ -673,6 +684,15 @@ def colocated_visit_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return colocated.visit_rank(fact)
 
 
+def history_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history report in its order, each row with its position."""
+    report = customer_reports.target_item_history(
+        _landed_orders(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE
+    )
+    ordered = report.orderBy(*customers.history_order())
+    return delivered_positions(ordered).select("store_name", "account_id", "timestamp", "check_hash", "position")
+
+
 def target_item_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _brand_checks(spark, sf_dir, WINDOWS)
     details = customers.target_item_details(rows, I.matches_code_and_name(TARGETS))
@@ -769,6 +789,8 @@ QUERIES: dict[str, Query] = {
     "publish_raw_changes": publish_raw_changes,
     "contribution_weekday": _contribution("weekday_name"),
     "contribution_daypart": _contribution("daypart"),
+    "contribution_in_order": contribution_in_order,
+    "published_in_order": published_in_order,
     "pivot_daily_visit": _pivot("daily_visit"),
     "pivot_daily_sale": _pivot("daily_sale"),
     "pivot_weekly_sale": _pivot("weekly_sale"),
@@ -794,6 +816,7 @@ QUERIES: dict[str, Query] = {
     "parsed_history": parsed_history,
     "target_customer_history": target_customer_history,
     "target_customer_history_display": target_customer_history_display,
+    "history_in_order": history_in_order,
     "colocated_rollcall": colocated_rollcall,
     "colocated_history": colocated_history,
     "colocated_visit_rank": colocated_visit_rank,
