@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwise.sources.tables import scratch_root
+
 #: Rows handed to Python code at a time within an Arrow batch; bounds what a task holds.
 SLICE_ROWS = 128
 
@@ -30,13 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{root or spark.conf.get('spark.sql.warehouse.dir')}/tillwise-llm"
+    """The application's folder for intermediates, which driver and executors share."""
+    return f"{scratch_root(spark)}/text"
 
 
 def land(df: DataFrame) -> DataFrame:
-    """``df`` as written to the shared folder: cuts lineage and survives lost executors."""
+    """``df`` as written to the shared folder: cuts lineage and survives lost executors.
+
+    ``sources.tables.drop_intermediates`` deletes all that an application has landed.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
