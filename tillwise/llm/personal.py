@@ -1,18 +1,22 @@
 """Personal data: base patterns, and a skip-chain conditional random field that adds what they miss.
 
-Nodes are the base matches of a document and its other number-like or address-like tokens. Chain
-edges join neighbours, skip edges join distant tokens that repeat each other or look alike (same
-digits, same last digits, same local part). Loopy belief propagation then lets a token that the
-patterns reject take the label of the matched token it repeats. Factors are trained piecewise,
-each from its own counts over a bounded sample that the base patterns label.
+Nodes are the base matches of a document and its other number-like or address-like strings, of one token
+or of several digit groups. Chain edges join neighbours, skip edges join distant nodes that repeat each
+other or look alike (same digits, same last digits with or without a country code, same local part).
+Loopy belief propagation then lets a string that the patterns reject take the label of the matched one it
+repeats. All factors are fitted to counts over all documents: node factors to the labels that the patterns
+give a shape, chain factors to neighbouring labels beyond chance, the skip factor to how much more often matches share
+a key within a document than across documents.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,12 +28,16 @@ from tillwise.llm.common import append_by_text
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 SMOOTHING = 0.5
+#: Weight, in nodes, of all labels' distribution in that of a shape or of a pair.
+PRIOR = 20.0
 ROUNDS = 20
 DAMPING = 0.3
 #: Marginal probability from which a token is added.
 CERTAIN = 0.9
-#: Digits from the end that make two numbers alike.
-TAIL = 7
+#: Digits from the end that make two numbers alike: a local number, and one with its area.
+TAILS = (7, 9)
+#: Digits of a number-like node.
+DIGITS = (7, 19)
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -39,6 +47,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 _MARK = re.compile("[0-9@]")
+#: Two to eight digit groups with single separators; part of no word and of no longer run of groups.
+_GROUPS = re.compile(r"(?<![\w+@.])(?<![0-9][ .()-])\+?\(?[0-9]{1,19}+\)?(?:[ .-]?\(?[0-9]{1,19}+\)?){1,7}(?![\w@])(?![ .()-]{1,2}[0-9])")
 _EDGE = " \t\r\n\"'`.,;:!?*#%$&|()[]{}<>="
 
 
@@ -97,7 +107,7 @@ def shape(token: str) -> str:
         return ("address" if "." in right else "handle") if left and right else ""
     digits = only_digits(token)
     rest = set(token) - set("0123456789 ().+-")
-    if rest or len(digits) < 7:
+    if rest or len(digits) < DIGITS[0]:
         return ""
     parts = token.split(".")
     if len(parts) >= 4 and all(p.isascii() and p.isdigit() for p in parts):
@@ -106,15 +116,20 @@ def shape(token: str) -> str:
         return "checked" if luhn(digits) else "unchecked"
     if len(digits) > 19:
         return "long"
-    return "plus" if token.startswith("+") else "spaced" if len(digits) < len(token) else "number"
+    if token.startswith("+") and 8 <= len(digits) <= 15:
+        return "plus"
+    return "spaced" if len(digits) < len(token) else "number"
 
 
 def keys(token: str) -> list[tuple[str, str]]:
-    """What makes a token a repetition of another, or like it."""
+    """What makes a string a repetition of another, or like it."""
     if "@" in token:
         return [("local", token.partition("@")[0].lower())]
+    parts = token.split(".")
+    if len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts):
+        return [("quad", ".".join(p.lstrip("0") or "0" for p in parts))]
     digits = only_digits(token)
-    return [("digits", digits), ("tail", digits[-TAIL:])]
+    return [("digits", digits), *[(f"last {n}", digits[-n:]) for n in TAILS if len(digits) >= n]]
 
 
 @dataclass(frozen=True)
@@ -126,26 +141,49 @@ class Node:
     keys: tuple[tuple[str, str], ...]
 
 
+def _free(start: int, end: int, starts: list[int], reach: list[int]) -> bool:
+    """Whether a stretch meets none of those that begin at ``starts`` and, so far, reach to ``reach``."""
+    before = bisect_left(starts, end)
+    return not before or reach[before - 1] <= start
+
+
 def nodes(text: str, spans: list[tuple[str, int, int]]) -> list[Node]:
-    """Base matches and the other candidate tokens of ``text``, by start; tokens overlap no match."""
+    """Base matches and the other candidates of ``text``, by start; candidates overlap nothing.
+
+    A run of two to eight digit groups with 7 to 19 digits is one candidate, other tokens are each one.
+    """
     found = [
         Node(s, e, shape(text[s:e]) or kind, LABELS.index(kind), tuple(keys(text[s:e]))) for kind, s, e in spans
     ]
+    if not _MARK.search(text):
+        return found
+
+    def add(start: int, end: int) -> bool:
+        token = text[start:end]
+        if kind := shape(token):
+            found.append(Node(start, end, kind, 0, tuple(keys(token))))
+        return bool(kind)
+
     taken = sorted((s, e) for _, s, e in spans)
+    gaps, at = [], 0
+    for start, end in taken:
+        if start > at:
+            gaps.append((at, start))
+        at = max(at, end)
+    groups = []
+    for low, high in [*gaps, (at, len(text))]:
+        for m in _GROUPS.finditer(text, low, high):
+            if DIGITS[0] <= len(only_digits(m.group())) <= DIGITS[1] and add(m.start(), m.end()):
+                groups.append(m.span())
+    taken = sorted([*taken, *groups])
     starts = [s for s, _ in taken]
     reach = np.maximum.accumulate([e for _, e in taken]).tolist() if taken else []
-    for m in _TOKEN.finditer(text) if _MARK.search(text) else ():
+    for m in _TOKEN.finditer(text):
         token = m.group()
         start = m.start() + len(token) - len(token.lstrip(_EDGE))
-        token = token.strip(_EDGE)
-        end = start + len(token)
-        kind = shape(token)
-        if not kind:
-            continue
-        before = bisect_left(starts, end)
-        if before and reach[before - 1] > start:
-            continue
-        found.append(Node(start, end, kind, 0, tuple(keys(token))))
+        end = start + len(token.strip(_EDGE))
+        if start < end and _free(start, end, starts, reach):
+            add(start, end)
     return sorted(found, key=lambda n: (n.start, n.end, n.label))
 
 
@@ -172,42 +210,76 @@ class Model:
 
 
 def count_factors(text: str | None) -> Counter:
-    """Counts of (factor, observation, label, label) in one text, labelled by the base patterns."""
+    """Counts of (factor, observation, label, label) in one text, labelled by the base patterns.
+
+    u: nodes of a shape; c: neighbours; k: skip edges between matches of one kind; s: matches that could have
+    had one, those of a kind after the first; m: the loosest key of a match, once for each text.
+    """
     text = text or ""
     found = nodes(text, base_spans(text))
     counts = Counter(("u", n.shape, n.label, 0) for n in found)
-    counts.update((("c", "k")[kind], "", found[i].label, found[j].label) for i, j, kind in edges(found))
+    for i, j, skip in edges(found):
+        a, b = found[i].label, found[j].label
+        if not skip:
+            counts["c", "", a, b] += 1
+        elif a and a == b:
+            counts["k", "", 0, 0] += 1
+    of = Counter(n.label for n in found if n.label)
+    if more := sum(n - 1 for n in of.values()):
+        counts["s", "", 0, 0] = more
+    for key in {n.keys[min(1, len(n.keys) - 1)] for n in found if n.label}:
+        counts["m", hashlib.blake2b(repr(key).encode(), digest_size=8).hexdigest(), 0, 0] = 1
     return counts
 
 
+def summed(counts: Mapping[tuple[str, str, int, int], int]) -> list[tuple[str, str, int, int, int]]:
+    """Rows for ``model_of``: all counts but those of keys, and of these their sum (m) and the pairs of
+    texts that share one (p)."""
+    rows = [(*k, n) for k, n in counts.items() if k[0] != "m"]
+    shared = [n for k, n in counts.items() if k[0] == "m"]
+    return [*rows, ("m", "", 0, 0, sum(shared)), ("p", "", 0, 0, sum(n * (n - 1) // 2 for n in shared))]
+
+
 def model_of(counts: Iterable[tuple[str, str, int, int, int]]) -> Model:
-    """Factors from summed counts; skip pairs of unequal labels are what repetition argues against."""
+    """Factors from summed counts.
+
+    A shape's node factor is its labels' distribution, drawn towards that of all nodes by PRIOR nodes; that
+    of ``""``, for shapes never seen, is all nodes'. A chain factor is what a pair of neighbouring labels has
+    beyond chance, drawn towards chance alike. The skip factor is the logarithm of the rate at which
+    matches of one kind share a key within a text to the rate at which matches of any two texts
+    do: each side's label is known by its own pattern, so either could be hidden and told from the other.
+    It rewards agreement on a kind only; two rejected strings are no evidence for each other.
+    """
     size = len(LABELS)
-    unary: dict[str, np.ndarray] = {}
-    pair = np.full((2, size, size), SMOOTHING)
-    for factor, seen, a, b, n in counts:
+    seen: dict[str, np.ndarray] = {}
+    chain = np.full((size, size), SMOOTHING)
+    totals: Counter = Counter()
+    for factor, name, a, b, n in counts:
         if factor == "u":
-            unary.setdefault(seen, np.full(size, SMOOTHING))[a] += n
+            seen.setdefault(name, np.zeros(size))[a] += n
+        elif factor == "c":
+            chain[a, b] += n
+            chain[b, a] += n
         else:
-            pair["ck".index(factor)][[a, b], [b, a]] += n
-    unary = {k: np.log(v / v.sum()) for k, v in unary.items()}
-    log_pair = np.zeros_like(pair)
-    # chain: association of neighbouring labels beyond chance
-    joint = pair[0] / pair[0].sum()
-    single = joint.sum(axis=1)
-    log_pair[0] = np.log(joint / np.outer(single, single)) * 0.5
-    # skip: share of linked tokens that agree, per kind; a potential for agreement only
-    matched = np.diag(pair[1])[1:].sum()
-    crossed = pair[1][1:, 1:].sum() - matched
-    agree = np.log((matched + 1.0) / (crossed + 1.0)) + 2.0
-    log_pair[1] = np.eye(size) * max(agree, 0.0)
-    log_pair[1][0, 0] = 0.0  # two rejected tokens are no evidence for each other
-    return Model(unary, log_pair)
+            totals[factor] += n
+    every = sum(seen.values(), np.full(size, SMOOTHING))
+    every = every / every.sum()
+    unary = {name: np.log((v + PRIOR * every) / (v.sum() + PRIOR)) for name, v in seen.items()}
+    unary[""] = np.log(every)
+    single = chain.sum(axis=1) / chain.sum()
+    expected = np.outer(single, single)
+    pair = np.zeros((2, size, size))
+    pair[0] = np.log((chain + PRIOR * expected) / ((chain.sum() + PRIOR) * expected))
+    within = (totals["k"] + SMOOTHING) / (max(totals["s"], totals["k"]) + 2 * SMOOTHING)
+    across = (totals["p"] + SMOOTHING) / (totals["m"] * (totals["m"] - 1) / 2 + 2 * SMOOTHING)
+    pair[1] = np.eye(size) * max(0.0, math.log(within / across))
+    pair[1][0, 0] = 0.0
+    return Model(unary, pair)
 
 
 def fit(docs: DataFrame) -> Model:
-    """Factors counted over all rows of ``docs`` (doc_id, text). Counts are summed in Spark; a few
-    dozen numbers reach the driver."""
+    """Factors counted over all rows of ``docs`` (doc_id, text). Counts are summed in Spark, those of keys
+    twice, by key and over all keys; a few dozen numbers reach the driver."""
 
     def make():
         def count(text: str | None) -> tuple[str]:
@@ -224,15 +296,22 @@ def fit(docs: DataFrame) -> Model:
         .groupBy("f", "o", "a", "b")
         .agg(F.sum("n").alias("n"))
     )
-    return model_of([tuple(r) for r in counted.collect()])
+    is_key = F.col("f") == "m"
+    rows = counted.groupBy("f", F.when(~is_key, F.col("o")).otherwise("").alias("o"), "a", "b").agg(
+        F.sum("n").alias("n"), F.sum(F.when(is_key, F.col("n") * (F.col("n") - 1) / 2)).cast("bigint").alias("pairs")
+    )
+    summed_rows = []
+    for f, o, a, b, n, pairs in rows.collect():
+        summed_rows.append((f, o, a, b, n))
+        if f == "m":
+            summed_rows.append(("p", "", 0, 0, pairs))
+    return model_of(summed_rows)
 
 
 def marginals(found: list[Node], links: list[tuple[int, int, int]], model: Model) -> np.ndarray:
     """Label probabilities of each node by damped loopy belief propagation; base matches are given."""
     size = len(LABELS)
-    default = np.zeros(size)
-    default[0] = 4.0
-    local = np.array([model.unary.get(n.shape, default) for n in found])
+    local = np.array([model.unary.get(n.shape, model.unary[""]) for n in found])
     for i, node in enumerate(found):
         if node.label:
             local[i] = -30.0
