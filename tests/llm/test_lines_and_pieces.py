@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -70,7 +71,7 @@ def test_no_piece_crosses_a_chunk():
 
 
 def test_pieces_of_edge_cases(edge_rows):
-    encode = pieces.piece_maker(entries=5)()
+    encode = pieces.piece_maker(table_bytes=5)()
     for _, text in edge_rows:
         check_piece(encode, text)
     for text in ("  a  b ", "▁x", "a▁b ▁", "\x00a", "<s> </s>", " ", "   ", "�", "a b", "é́"):
@@ -132,3 +133,28 @@ def test_rows_whose_first_hash_collides_stay_apart(spark, monkeypatch):
     different = [(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(20)]
     kept = simhash.drop_near_duplicates(spark.createDataFrame(different, "doc_id bigint, text string"))
     assert sorted(map(tuple, kept.collect())) == different
+
+
+def test_the_table_is_bounded_by_bytes():
+    import tracemalloc
+
+    import random
+
+    pick = random.Random(1)
+    texts = ["".join(pick.choices("abcdefghij", k=1500)) for _ in range(600)]
+    sizes = {}
+    for bound in (1 << 19, 1 << 40):
+        encode = pieces.piece_maker(table_bytes=bound)()
+        tracemalloc.start()
+        for text in texts:
+            encode(text)
+        sizes[bound] = tracemalloc.get_traced_memory()[0]
+        tracemalloc.stop()
+    assert sizes[1 << 19] < 1 << 20 < sizes[1 << 40]
+    check_piece(encode, texts[0] + " " + texts[1])
+
+
+def test_a_model_whose_pieces_cross_chunks_is_refused(monkeypatch):
+    monkeypatch.setattr(pieces, "crossing_pieces", lambda path: ["a▁b"])
+    with pytest.raises(ValueError, match="cross"):
+        pieces.piece_maker()

@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame
 from tillwise.llm.common import append_by_text
 
 MODEL = "piece_bpe_32k.model"
-#: Entries after which a task starts its table anew; bounds memory, not results.
-TABLE_ENTRIES = 300_000
+#: Bytes after which a task starts its table anew, by estimate; bounds memory, not results.
+TABLE_BYTES = 64 << 20
+#: What an entry takes beside its characters and ids.
+ENTRY_BYTES = 200
 MARK = "▁"
 
 
@@ -36,18 +38,23 @@ def crossing_pieces(path: str) -> list[str]:
     return [p for p in pieces if p.strip(MARK) and (MARK in p.lstrip(MARK) or p.startswith(MARK * 2))]
 
 
-def piece_maker(path: str | None = None, entries: int = TABLE_ENTRIES):
-    """Returns the per-task factory of the function from a text to (n_tokens, ids, decoded)."""
+def piece_maker(path: str | None = None, table_bytes: int = TABLE_BYTES):
+    """Returns the per-task factory of the function from a text to (n_tokens, ids, decoded).
+
+    A model with pieces that would break the chunk table is an error.
+    """
     path = path or model_path()
+    if crossing := crossing_pieces(path):
+        raise ValueError(f"pieces that cross a whitespace marker: {crossing[:5]}")
 
     def make():
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         begin, end = (np.array([i], "<u4").tobytes() for i in (model.bos_id(), model.eos_id()))
         blank = {"": np.array([model.piece_to_id(MARK)], "<u4").tobytes()}
-        ids_of = dict(blank)
+        ids_of, held = dict(blank), 0
 
         def encode(text: str | None) -> tuple[int, bytes, str]:
-            nonlocal ids_of
+            nonlocal ids_of, held
             text = (text or "").replace(MARK, " ")
             # The library puts one marker before a text: a chunk without its first space is a text.
             if not text:
@@ -56,12 +63,13 @@ def piece_maker(path: str | None = None, entries: int = TABLE_ENTRIES):
                 chunks = [c[1:] for c in re.findall(" +[^ ]*", " " + text)]
             else:
                 chunks = text.split(" ")
-            if len(ids_of) > entries:
-                ids_of = dict(blank)
+            if held > table_bytes:
+                ids_of, held = dict(blank), 0
             new = [c for c in set(chunks) if c not in ids_of]
             if new:
                 for chunk, ids in zip(new, model.encode(new, num_threads=1), strict=True):
                     ids_of[chunk] = np.array(ids, "<u4").tobytes()
+                    held += 4 * (len(chunk) + len(ids)) + ENTRY_BYTES
             packed = begin + b"".join(map(ids_of.__getitem__, chunks)) + end
             return len(packed) // 4, packed, model.decode(np.frombuffer(packed, "<u4").tolist())
 
