@@ -23,8 +23,6 @@ from tillwise.llm.common import append_by_text, hashed_sample, land
 
 #: Labelled rows of each label that lexicon and weights are fitted on, chosen by the hash of their id.
 SAMPLE_PER_LABEL = 10_000
-#: Terms kept, by separation.
-LEXICON_TERMS = 5_000
 #: Toxic documents that must have a term, and how surely it must separate.
 MIN_TOXIC_DOCUMENTS = 3
 MIN_Z = 3.5
@@ -310,8 +308,8 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
     """Terms that separate: log-odds of a term in toxic against other documents, by Spark.
 
     ``labelled`` is (text, toxic). A term needs MIN_TOXIC_DOCUMENTS toxic documents and a log-odds
-    of at least MIN_ODDS and MIN_Z standard errors; LEXICON_TERMS are kept, the surest first. Terms
-    are words and the beginnings of words.
+    of at least MIN_ODDS and MIN_Z standard errors; all such terms are kept, so the lexicon is bounded by
+    the sample alone. Terms are words and the beginnings of words.
     """
     totals = {int(t): n for t, n in labelled.groupBy("toxic").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
@@ -335,7 +333,7 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
         .withColumn("z", F.col("odds") / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5)))
         .where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS) & (F.length("term") > 1))
     )
-    found = land(counted.orderBy(F.desc("z"), "term").limit(LEXICON_TERMS).select("term", "odds"))
+    found = land(counted.select("term", "odds"))
     # a stem that only one word has says no more than the word
     forms = documents.where("toxic = 1").select(F.explode("words").alias("word")).distinct()
     shared = (
