@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.clock import between_days, is_saturday
 from tillwise.functions.money import cents, dollars, ratio, relative_change, sum_dollars
+from tillwise.operators.distinct import distinct_customers
 from tillwise.params import YEAR_LAG_DAYS, CohortRules, Period
 
 SPINE_KEYS = ("store_group_id", "group_name", "year", "output_period_type", "weekday_group")
@@ -131,6 +132,38 @@ def cohort_period_totals(
     return merged.groupBy(*SPINE_KEYS).agg(*[F.max(name).alias(name) for name in measures]).na.fill(0, measures)
 
 
+def stored_period_totals(
+    store_days: DataFrame, bitmaps: DataFrame, cohort: DataFrame, rules: CohortRules
+) -> DataFrame:
+    """What ``cohort_period_totals`` gives, from stored store-days and customer bitmaps of store-days.
+
+    The fact is not read: counts and sales add up over days, and the distinct customers of any set of
+    stores and days are the bits of their bitmaps combined. A new day costs its own rows only.
+    """
+    sides = {"current": 0, "prior": rules.lag_days}
+    spine = yoy_date_spine(cohort, rules).groupBy(*SPINE_KEYS).agg(
+        F.count("*").alias("current_business_date_count")
+    )
+    side = F.col("side")
+    sums = []
+    for name in sides:
+        sums += [
+            dollars(F.sum(F.when(side == name, cents(F.col("sales_amount"))))).alias(f"{name}_sales"),
+            F.sum(F.when(side == name, F.col("txn_count"))).alias(f"{name}_transaction_count"),
+        ]
+    prior_day = F.when(side == "prior", F.col("business_day"))
+    days = _side_rows(store_days, cohort, rules, sides).groupBy(*SPINE_KEYS).agg(
+        *sums, F.count_distinct(prior_day).alias("prior_business_date_count")
+    )
+    customers = distinct_customers(_side_rows(bitmaps, cohort, rules, sides), [*SPINE_KEYS, "side"])
+    by_side = customers.groupBy(*SPINE_KEYS).agg(
+        *[F.max(F.when(side == name, F.col("customers"))).alias(f"{name}_customers") for name in sides]
+    )
+    merged = spine.unionByName(days, allowMissingColumns=True).unionByName(by_side, allowMissingColumns=True)
+    measures = [name for name in merged.columns if name not in SPINE_KEYS]
+    return merged.groupBy(*SPINE_KEYS).agg(*[F.max(name).alias(name) for name in measures]).na.fill(0, measures)
+
+
 def _reported_rows(rows: DataFrame, rules: CohortRules, sides: Mapping[str, int]) -> DataFrame:
     """Rows whose day can be reported on some side."""
     day = F.col("business_day")

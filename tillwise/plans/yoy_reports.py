@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillwise.functions import clock, labels
 from tillwise.functions.money import dollars
-from tillwise.operators import activity, changes, cohort, dayparts, stores, yoy
+from tillwise.operators import activity, changes, cohort, dayparts, distinct, stores, yoy
 from tillwise.params import EIGHTEEN_MONTH_LAG_DAYS, YEAR_LAG_DAYS, CohortRules, Period, StoreWindow
 from tillwise.sources.tables import materialize
 
@@ -29,6 +29,23 @@ def annual_cohort_yoy(
     return yoy.yoy_metrics(totals, cohort.cohort_summary(members))
 
 
+def land_daily_tables(transactions: DataFrame, rules: CohortRules) -> tuple[DataFrame, DataFrame]:
+    """(store-days, customer bitmaps) of the valid sales: all that ``annual_cohort_yoy_stored`` reads."""
+    valid = stores.valid_sales_channel(transactions, rules.channels, rules.window.end)
+    store_days = materialize(activity.store_day_activity(valid, ("store_id", "store_name")))
+    numbers = materialize(distinct.number_customers(valid))
+    return store_days, materialize(distinct.customer_bitmaps(valid, numbers))
+
+
+def annual_cohort_yoy_stored(
+    store_days: DataFrame, bitmaps: DataFrame, group_map: DataFrame, groups: DataFrame, rules: CohortRules
+) -> DataFrame:
+    """``annual_cohort_yoy`` from stored days, without the fact."""
+    members = materialize(cohort.fixed_cohort(store_days, group_map, groups, rules))
+    totals = yoy.stored_period_totals(store_days, bitmaps, members, rules)
+    return yoy.yoy_metrics(totals, cohort.cohort_summary(members))
+
+
 def annual_cohort_yoy_pivot(
     transactions: DataFrame, group_map: DataFrame, groups: DataFrame, rules: CohortRules
 ) -> DataFrame:

@@ -439,6 +439,14 @@ def annual_cohort_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def annual_cohort_yoy_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The annual comparison from landed store-days and customer bitmaps."""
+    days, bitmaps = yoy_reports.land_daily_tables(views.sales(spark, sf_dir), RULES)
+    return _plain(
+        yoy_reports.annual_cohort_yoy_stored(days, bitmaps, views.group_map(spark), views.store_groups(spark), RULES)
+    )
+
+
 def annual_cohort_yoy_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(
         yoy_reports.annual_cohort_yoy_pivot(
@@ -777,6 +785,7 @@ QUERIES: dict[str, Query] = {
     "cohort_current_totals": _totals("current"),
     "cohort_prior_totals": _totals("prior"),
     "annual_cohort_yoy": annual_cohort_yoy,
+    "annual_cohort_yoy_stored": annual_cohort_yoy_stored,
     "annual_cohort_yoy_pivot": annual_cohort_yoy_pivot,
     "bitmap_customers": bitmap_customers,
     "sketch_quantiles": sketch_quantiles,
