@@ -66,13 +66,13 @@ def columns(df: DataFrame) -> list[Column]:
 
 
 def row_key(df: DataFrame) -> Column:
-    """A key of (doc_id, text) without nulls, 128 bits in the fields a and b.
+    """A key of (doc_id, text) without nulls: 128 bits as text.
 
     Equal rows share it, which every use allows for; that different rows do is out of the question
     at any number of documents.
     """
     first, second = _row_hashes(df["doc_id"], df["text"])
-    return F.struct(first.alias("a"), second.alias("b"))
+    return F.concat(F.hex(first), F.lit("-"), F.hex(second))
 
 
 def _row_hashes(doc_id: Column, text: Column) -> tuple[Column, Column]:

@@ -58,7 +58,7 @@ def drop_shared_lines(
     dropped = (
         digests.select(row, F.posexplode("digests").alias(at, "digest"))
         .where("digest is not null")
-        .withColumn("salt", F.pmod(F.col(f"{row}.a"), F.lit(SALTS)).cast("int"))
+        .withColumn("salt", F.pmod(F.xxhash64(row), F.lit(SALTS)).cast("int"))
         .join(shared, ["digest", "salt"], "left_semi")
         .groupBy(row)
         .agg(F.collect_set(at).alias(at))
