@@ -97,7 +97,7 @@ class _Stub:
 
     def __init__(self, **conf):
         self.conf = {key.replace("__", "."): value for key, value in conf.items()}
-        self.sparkContext = type("Context", (), {"applicationId": "app-1"})
+        self.sparkContext = type("Context", (), {"applicationId": "app-1", "master": "local[2]", "getCheckpointDir": lambda: None})
 
 
 def test_scratch_folder_choice():
