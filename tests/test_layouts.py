@@ -1,7 +1,7 @@
 """Clustered writes, incremental snapshots and the minute lookup."""
 
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -12,7 +12,7 @@ from tillwise.operators import dayparts, normalize
 from tillwise.sources.curve import curve_key, quantile_cuts, write_clustered
 from tillwise.sources.incremental import sync_changed
 from tillwise.sources.numbering import delivered_positions, out_of_order, sorted_positions
-from tillwise.sources.tables import scratch_root, write_table
+from tillwise.sources.tables import scratch_root, snapshot_table, write_table
 from tillwise.workload import queries as Q
 
 
@@ -207,6 +207,31 @@ def test_an_empty_source_empties_the_snapshot(spark, tmp_path):
     assert sync_changed(frame, target, "ts")[0].count() == frame.count()
 
 
+def test_a_report_is_republished_by_its_changed_dates(spark, tmp_path):
+    target = str(tmp_path / "t")
+    schema = "business_date date, store string, n int"
+    rows = [(date(2024, 1, 1 + i % 5), f"S{i}", i) for i in range(40)]
+    sync_changed(spark.createDataFrame(rows, schema), target, date_column="business_date")
+    before = files(target)
+    rows[0] = (rows[0][0], "S0", 99)
+    snapshot, changed = sync_changed(spark.createDataFrame(rows, schema), target, date_column="business_date")
+    assert [(r["business_date"], r["gone"]) for r in changed.collect()] == [(date(2024, 1, 1), False)]
+    after = files(target)
+    assert {d for d in after if after[d] != before[d]} == {"business_date=2024-01-01"}
+    assert same([(r["business_date"], r["store"], r["n"]) for r in snapshot.collect()], rows)
+    with pytest.raises(ValueError):
+        sync_changed(snapshot, target)
+
+
+@pytest.mark.parametrize("kind", ["csv", "json", "orc", "parquet"])
+def test_a_snapshot_of_any_source(spark, tmp_path, kind):
+    frame = table(spark, base_rows()).filter("ts IS NOT NULL").select("id", "ts", "v")
+    frame.withColumn("ts", F.col("ts").cast("string")).write.format(kind).save(str(tmp_path / "source"))
+    read = spark.read.schema("id bigint, ts string, v double").format(kind).load(str(tmp_path / "source"))
+    landed = snapshot_table(lambda: read.withColumn("ts", F.col("ts").cast("timestamp_ntz")), str(tmp_path / "t"), "ts")
+    assert same([tuple(r)[:3] for r in landed.collect()], [tuple(r) for r in frame.collect()])
+
+
 # --- minutes to dayparts -----------------------------------------------------------------
 
 

@@ -134,10 +134,15 @@ def target_item_history(
     time_zone: str,
     with_target_details: bool = False,
     display_names: bool = False,
+    in_order: bool = False,
 ) -> DataFrame:
-    """Check history of the customers who bought a target item at one of the listed stores."""
+    """Check history of the customers who bought a target item at one of the listed stores.
+
+    ``in_order`` sorts it by store, customer and time, for whoever shows or writes it as a sheet.
+    """
     rows = stores.cutoff_sales(tx, merchant_map, period, time_zone, windows)
     rows = rows.withColumn("customer_type", labels.customer_type(F.col("isNewAtStore")))
-    return customers.target_customer_history(
+    history = customers.target_customer_history(
         rows, I.matches_code_and_name(targets), with_target_details, display_names
     )
+    return history.orderBy(*customers.history_order(display_names)) if in_order else history

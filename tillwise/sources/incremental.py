@@ -67,25 +67,37 @@ def _partition_folder(date_column: str, value: str | None) -> str:
 
 
 def sync_changed(
-    source: DataFrame, target: str, timestamp_column: str, cluster_by: Iterable[str] = ()
+    source: DataFrame,
+    target: str,
+    timestamp_column: str | None = None,
+    cluster_by: Iterable[str] = (),
+    date_column: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Bring the snapshot at ``target`` in line with ``source``; returns (the snapshot, its changes).
 
-    Changes are one row per date written or, with ``gone``, deleted.
-
-    The snapshot is partitioned by the UTC date of ``timestamp_column`` (``<column>_date``); rows without
-    a time are a partition of their own. Only changed dates are written, dates that the source no longer
-    has are deleted. An empty source empties the snapshot. Column names and types must stay the same.
+    Changes are one row per date written or, with ``gone``, deleted. The snapshot is partitioned by
+    ``date_column``, a column of ``source`` such as a report's business date, or by the UTC date of
+    ``timestamp_column`` (``<column>_date``); rows without one are a partition of their own. Only changed
+    dates are written, dates that the source no longer has are deleted. An empty source empties the
+    snapshot. Column names and types must stay the same.
 
     Digests are kept beside the table, in ``<target>_digests``. Dates about to be written lose their
     digest first and get that of the written files last, so an interrupted run is repaired by the next
     one, and a source that moves on while it is read is found to differ. The source is scanned once
-    in whole and once for the changed dates. The driver sees the list of vanished dates.
+    in whole and once for the changed dates; a report that is dear to compute should be landed first.
+    The driver sees the list of vanished dates.
     """
+    if (timestamp_column is None) == (date_column is None):
+        raise ValueError("name either a timestamp or a date column")
     spark = source.sparkSession
-    date_column = f"{timestamp_column}_date"
     digests = f"{target}_digests"
-    dated = source.withColumn(date_column, F.to_date(utc_wall_time(source, timestamp_column)))
+    dated = source
+    if date_column is None:
+        date_column = f"{timestamp_column}_date"
+        dated = source.withColumn(date_column, F.to_date(utc_wall_time(source, timestamp_column)))
+    else:
+        # partition columns come last when they are read back
+        dated = source.select(*[F.col(f"`{c}`") for c in source.columns if c != date_column], date_column)
     new = materialize(date_digests(dated, date_column))
     has_target, has_digests = _exists(spark, target), _exists(spark, digests)
     stored = spark.read.schema(new.schema).parquet(digests) if has_digests else new.limit(0)

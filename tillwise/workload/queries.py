@@ -54,6 +54,7 @@ CLOSURES = (Period(date(1997, 6, 9), date(1997, 6, 19)), Period(date(1999, 10, 4
 PIVOT_GROUPS = {"ALL": "brand", "G0": "even", "G1": "odd"}
 BUCKETS = 8
 SPLITS = 6
+REVISED_YEAR = 2000
 REVISED_DAY, MOVED_DAY = date(2024, 1, 10), date(2024, 1, 20)
 CLUSTERED_LOOKUPS = {
     "store_id": "S2", "account_id": "7", "channel_group": "Online", "customer_type": "New",
@@ -497,6 +498,18 @@ def publish_trial_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_published_pairs(spark, sf_dir))
 
 
+def republished_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily report after one year of it was corrected: only the months concerned are written again."""
+    report = materialize(_pairs(spark, sf_dir).withColumn("report_month", F.trunc("business_date", "month")))
+    wrong = F.year("business_date") == REVISED_YEAR
+    earlier = report.withColumn("current_visit", F.when(wrong, F.col("current_visit") + 1).otherwise(F.col("current_visit")))
+    target = _target(spark)
+    sync_changed(earlier, target, date_column="report_month", cluster_by=("business_date", "store_id"))
+    return _plain(
+        sync_changed(report, target, date_column="report_month", cluster_by=("business_date", "store_id"))[0]
+    ).drop("report_month")
+
+
 def _readout(name: str) -> Query:
     return lambda spark, sf_dir: _plain(
         yoy_reports.trial_store_readouts(_published_pairs(spark, sf_dir), "S2")[name]
@@ -695,10 +708,9 @@ def colocated_visit_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history report in its order, each row with its position."""
     report = customer_reports.target_item_history(
-        _landed_orders(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE
+        _landed_orders(spark, sf_dir), views.merchant_map(spark), WINDOWS, TARGETS, SALES, ZONE, in_order=True
     )
-    ordered = report.orderBy(*customers.history_order())
-    return delivered_positions(ordered).select("store_name", "account_id", "timestamp", "check_hash", "position")
+    return delivered_positions(report).select("store_name", "account_id", "timestamp", "check_hash", "position")
 
 
 def target_item_details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -791,6 +803,7 @@ QUERIES: dict[str, Query] = {
     "sketch_quantiles": sketch_quantiles,
     "period_over_period": period_over_period,
     "publish_trial_yoy": publish_trial_yoy,
+    "republished_yoy": republished_yoy,
     "yoy_rollup_date": _readout("sale_by_date"),
     "yoy_rollup_store": _readout("visit_by_store"),
     "yoy_rollup_type": _readout("visit_by_type"),
