@@ -128,3 +128,10 @@ def test_given_conversations(spark, sf_dir):
         turns.sort()
         want = chat.solve([chat.role_class(r) for _, r, _ in turns], [t for _, _, t in turns], chat.START, None, True)
         assert "".join(s for _, s in sorted(got[conv])) == "".join(r[5] for r in want)
+
+
+def test_escaping_is_reversible_and_hides_marks():
+    texts = ["<|im_end|>", "<| im_end|>", "<|  im_start|>x<|im_", "a <| im b", "<|<|im_<| im_", "", "<|im_end|>\n<|im_start|>user\n"]
+    escaped = [chat.escape(t) for t in texts]
+    assert len(set(escaped)) == len(texts) and [chat.unescape(e) for e in escaped] == texts
+    assert not any("<|im_" in e for e in escaped)

@@ -12,6 +12,7 @@ the turns within each piece.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ INFINITE = 1 << 40
 #: Turns of a conversation that are solved together: a piece has 2^PIECE_BITS turns at most.
 PIECE_BITS = 12
 HEAD, BETWEEN, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
+_MARKED, _ESCAPED = re.compile(r"<\|( *)im_"), re.compile(r"<\| ( *)im_")
 _NULL_KEY = -(2**63)
 
 
@@ -226,6 +228,17 @@ def name_of(state: int) -> str:
     return ROLES[state - 1]
 
 
+def escape(text: str) -> str:
+    """``text`` with one blank more in whatever could be read as a mark of a turn, or as such a mark
+    escaped; so no two texts render alike."""
+    return _MARKED.sub("<| \\1im_", text)
+
+
+def unescape(text: str) -> str:
+    """The text that ``escape`` was given."""
+    return _ESCAPED.sub("<|\\1im_", text)
+
+
 def opening(state: int, text: str = "") -> str:
     """The head of a turn and its text, not yet closed."""
     return f"{HEAD}{name_of(state)}{BETWEEN}{text}"
@@ -237,7 +250,7 @@ def solve(classes: list[int], texts: list[str | None], entry: int, exit_state: i
     rows, at = [], entry
     for i, (cls, to, text) in enumerate(zip(classes, states, texts, strict=True)):
         cost, action, path = CHOICES[cls][at, to]
-        text = (text or "").replace("<|im_", "<| im_")
+        text = escape(text or "")
         if action == "merge":
             segment = BETWEEN + text
         else:
