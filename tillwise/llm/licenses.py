@@ -27,7 +27,8 @@ BLOCK = 8
 BANDS = 160
 CONTAINMENT = 0.8
 WORD = re.compile(r"\w+")
-MEMO = 200_000
+#: Bytes after which a task starts its table of words anew, by estimate, and those of an entry beside its word.
+MEMO_BYTES, ENTRY_BYTES = 32 << 20, 150
 
 #: License notices as they are printed.
 TEMPLATES = {
@@ -66,6 +67,77 @@ TEMPLATES = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
     ),
+    "mit-warranty": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+        "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER "
+        "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR "
+        "THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "bsd-binary": (
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution."
+    ),
+    "bsd-3-clause": (
+        "may be used to endorse or promote products derived from this software without specific prior written permission."
+    ),
+    "bsd-warranty": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
+    "isc-warranty": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software. Permission is granted to anyone to use "
+        "this software for any purpose, including commercial applications, and to alter it and redistribute it "
+        "freely, subject to the following restrictions:"
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+    "bsl-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+        "and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, "
+        "distribute, execute, and transmit the Software, and to prepare derivative works of the Software"
+    ),
+    "mpl-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "gpl-2.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."
+    ),
+    "lgpl-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."
+    ),
+    "lgpl-3.0": (
+        "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version."
+    ),
+    "agpl-3.0": (
+        "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version."
+    ),
+    "epl-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "cc0-1.0": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+        "rights to this software to the public domain worldwide. This software is distributed without any warranty."
+    ),
+    "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "cc-by-sa-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
 }
 
 
@@ -106,6 +178,7 @@ class Scanner:
     def __init__(self, templates: dict[str, str], containment: float = CONTAINMENT) -> None:
         self.containment = containment
         self.memo: dict[str, int] = {}
+        self.held = 0
         self.names: list[str] = []
         self.sets: list[np.ndarray] = []
         self.lengths: list[int] = []
@@ -130,11 +203,12 @@ class Scanner:
     def hashes(self, text: str | None) -> np.ndarray:
         """Word hashes of ``text``."""
         words = WORD.findall((text or "").lower())
-        if len(self.memo) > MEMO:
-            self.memo = {}
+        if self.held > MEMO_BYTES:
+            self.memo, self.held = {}, 0
         memo = self.memo
         for word in set(words):
             if word not in memo:
+                self.held += 4 * len(word) + ENTRY_BYTES
                 memo[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return np.fromiter(map(memo.__getitem__, words), dtype=np.uint64, count=len(words))
 
@@ -191,9 +265,11 @@ def scan_documents(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> Da
     """(doc_id, license, containment, start), one row per row of ``docs`` and template it holds.
 
     A text holds a template if some stretch of it contains at least 0.8 of the template's distinct
-    5-word shingles (words are lower-cased runs of letters, digits and underscores). ``start`` is
-    the place, in code points of the lower-cased text, of the first such shingle there. Null and
-    empty texts hold nothing; repeated rows give their rows again; other columns are ignored.
+    5-word shingles (words are lower-cased runs of letters, digits and underscores). A stretch is a window of
+    two blocks with the template's length in words before and after it; the fullest one, of equals the
+    first, gives the row, so a template that a text holds twice is one row. ``start`` is the place, in
+    code points of the lower-cased text, of the first such shingle there. Null and empty texts hold
+    nothing; repeated rows give their rows again; other columns are ignored.
     """
 
     def run(batches):
