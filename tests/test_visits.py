@@ -60,20 +60,28 @@ def test_one_visitor_at_one_moment_is_split(spark):
     try:
         ranked = visits.visit_rank(_frame(spark, rows).repartition(8))
         got = {r.transaction_composite_key: r.visit_number for r in ranked.collect()}
-        landed = spark.read.parquet(*{str(Path(f).parent) for f in ranked.inputFiles()})
+        folders = {str(Path(f).parent) for f in ranked.inputFiles()}
+        landed = next(t for f in folders if "_range" in (t := spark.read.parquet(f)).columns)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", saved)
     assert got == _numbers(rows)
     shares = [r["count"] for r in landed.filter("account_id = 'hot'").groupBy("_range").count().collect()]
     assert len(shares) > 1 and max(shares) < 3000
+    assert landed.filter("account_id <> 'hot'").count() == 0
 
 
-def test_ranking_has_one_plan(frame):
-    plan = visits.visit_rank(frame)._jdf.queryExecution().executedPlan().toString()
+def test_heavy_visitors_are_ranked_by_ranges(frame):
+    plan = visits.ranged_visit_rank(frame)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("_range") and "hashpartitioning(_range" in plan
     assert "hashpartitioning(account_id" not in plan.split("Window [row_number")[1].split("Window [sum")[0]
 
 
+def test_all_others_take_one_shuffle(frame):
+    light = visits.visit_rank(frame)._jdf.queryExecution().executedPlan().toString().split("Window [row_number")[1]
+    light = light.split("Window [")[0].split("FileScan")[0]
+    assert light.count("Exchange hashpartitioning(account_id") == 1 and light.count("Exchange hashpartitioning") == 1
+
+
 def _direct(rows, params):
     """Pairs built as stated: join each visit to the pairs it starts or ends."""
     numbers = _numbers(rows)
