@@ -36,7 +36,7 @@ def skewed(kind, seed=4):
 
 
 @pytest.mark.parametrize("kind", ["even", "hot", "nulls", "all null", "constant", "two", "pareto", "mostly null"])
-@pytest.mark.parametrize("parts", [1, 2, 7, 16])
+@pytest.mark.parametrize("parts", [2, 9])
 def test_splits_cover_every_row_once_and_are_at_most_twice_the_mean(spark, kind, parts):
     frame = spark.createDataFrame(skewed(kind), "id bigint, k bigint").repartition(3)
     predicates = split_predicates(frame, "k", parts, spread="id")
@@ -55,8 +55,10 @@ def test_without_a_spread_a_heavy_value_is_one_split(spark):
     assert sum(depths(frame, predicates)) == 6000
 
 
-@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "double", "decimal(12,2)"])
-@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize(
+    ("kind", "zone"),
+    [("date", "UTC"), ("timestamp", "UTC"), ("timestamp", "America/New_York"), ("timestamp_ntz", "America/New_York"), ("double", "UTC"), ("decimal(12,2)", "UTC")],
+)
 def test_kinds_of_keys(spark, kind, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
@@ -81,6 +83,7 @@ def test_kinds_of_keys(spark, kind, zone):
 
 def test_empty_and_unsuited_sources(spark):
     assert split_predicates(spark.createDataFrame([], "id bigint, k bigint"), "k", 5) == ["1 = 1"]
+    assert split_predicates(spark.createDataFrame(skewed("hot"), "id bigint, k bigint"), "k", 1) == ["1 = 1"]
     with pytest.raises(TypeError):
         split_predicates(spark.createDataFrame([("x",)], "k string"), "k", 5)
     assert literal("it's") == "'it''s'" and literal(date(2024, 1, 2)) == "DATE '2024-01-02'"
