@@ -81,6 +81,14 @@ def test_the_key_interleaves_slice_numbers(spark):
         assert key == (a >> 1) * 8 + (b >> 1) * 4 + (a & 1) * 2 + (b & 1)
 
 
+def test_a_snapshot_along_the_curve(spark, sf_dir, tmp_path):
+    source = Q.views.event_authorizations(spark, sf_dir)
+    clusters = ("siteIdFrontend", "terminalId", "type", "isNewAtStore")
+    landed = snapshot_table(source, str(tmp_path / "t"), "timestamp", clusters, curve=True)
+    assert same(landed.drop("timestamp_date").collect(), source.collect())
+    assert landed.filter("timestamp_date <> to_date(timestamp)").count() == 0
+
+
 def test_odd_inputs_are_written_whole(spark, tmp_path):
     same = [(1, "x", None)] * 500 + [(None, None, None)] * 3 + [(2, "", 5.0)]
     frame = spark.createDataFrame(same, "k bigint, s string, `odd name` double")

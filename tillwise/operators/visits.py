@@ -37,10 +37,13 @@ def visit_rank(
     by ``ranged_visit_rank``, so a shared or placeholder account spreads over many tasks.
     """
     parts = int(visits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    light, heavy = split_heavy(visits, heavy_keys(visits, parts, VISITOR), VISITOR)
     window = W.partitionBy(*VISITOR).orderBy(F.col(order), *[F.col(name) for name in tie])
-    numbered = light.withColumn("visit_number", F.row_number().over(window))
-    return numbered.unionByName(ranged_visit_rank(heavy, order, tie))
+    number = F.row_number().over(window)
+    listed = heavy_keys(visits, parts, VISITOR)
+    if not listed.count():
+        return visits.withColumn("visit_number", number)
+    light, heavy = split_heavy(visits, listed, VISITOR)
+    return light.withColumn("visit_number", number).unionByName(ranged_visit_rank(heavy, order, tie))
 
 
 def ranged_visit_rank(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tillwise.functions.clock import utc_wall_time
+from tillwise.sources.curve import write_clustered
 
 Source = DataFrame | Callable[[], DataFrame]
 
@@ -52,19 +53,24 @@ def snapshot_table(
     target: str,
     timestamp_column: str | None = None,
     cluster_by: Iterable[str] = (),
+    curve: bool = False,
 ) -> DataFrame:
     """Full copy of a source table; returns the landed copy.
 
     ``source`` is any DataFrame, or a function producing one (a JDBC reader with
     ``partitionColumn`` reads in parallel). With ``timestamp_column`` the copy is partitioned
-    by the UTC date of that column, stored as ``<column>_date``.
+    by the UTC date of that column, stored as ``<column>_date``. With ``curve`` the cluster columns count
+    alike, along a curve, and the source is read three times; otherwise rows are sorted by the first of
+    them, then the next.
     """
     df = source() if callable(source) else source
-    if timestamp_column is None:
-        return write_table(df, target, cluster_by=cluster_by)
-    date_column = f"{timestamp_column}_date"
-    dated = df.withColumn(date_column, F.to_date(utc_wall_time(df, timestamp_column)))
-    return write_table(dated, target, date_column, cluster_by)
+    date_column = None
+    if timestamp_column is not None:
+        date_column = f"{timestamp_column}_date"
+        df = df.withColumn(date_column, F.to_date(utc_wall_time(df, timestamp_column)))
+    if curve:
+        return write_clustered(df, target, list(cluster_by), date_column)
+    return write_table(df, target, date_column, cluster_by)
 
 
 def sync_tables(
